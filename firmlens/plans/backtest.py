@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from firmlens.functions.constants import EXIT
 from firmlens.operators.ranges import quantile_cuts
-from firmlens.operators.scores import ranking_from_counts, score_counts
+from firmlens.operators.scores import ranking_from_counts, ranking_measures, score_counts
 from firmlens.operators.splits import window_class_counts, window_starts, with_window_status
+from firmlens.plans.learn import Learner, fit, in_parallel, score, with_predictions
+from firmlens.session import scratch_path
+from firmlens.sources.sinks import groups_to_run, insert_ignore, read_if_exists
 
 
 def windowed_ranking(df: DataFrame, keys: list[str], start: date, end: date, span: int, label: str, score: str,
@@ -52,3 +55,79 @@ def relational_backtest(df: DataFrame, keys: list[str], start: date, end: date,
     ranking = windowed_ranking(df, keys, start, end, span, label, score, month, cuts)
     sizes = window_class_counts(df, keys, span, start, end, label, month)
     return backtest_table(sizes, ranking, keys)
+
+
+def fitted_predictions(
+    table: DataFrame, features: list[str], units: list[tuple], span: int, learner: Learner, keys: list[str] = (),
+    label: str = "Y", month: str = "ym", path: str | None = None,
+) -> tuple[DataFrame | None, list[tuple]]:
+    """Fits every unit (key values and window start) on the months before its start and scores its window.
+
+    Returns (stored predictions, [(unit, model)]). ``table`` comes from ``training_table`` (one folder per
+    month), so a unit reads its own months only. Each unit's predictions are written to their own folder: a
+    restart with the same ``path`` fits only the units that are missing. Fits of all units go through one
+    small pool of job submissions. Units to skip must have been left out by the guards.
+    """
+    spark = table.sparkSession
+    path = path or scratch_path(spark, "predictions")
+    names = [*keys, "window"]
+    stored = read_if_exists(spark, path)
+    done = set() if stored is None else {tuple(str(v) for v in r) for r in stored.select(*names).distinct().collect()}
+
+    def run(unit: tuple):
+        start = unit[-1]
+        rows = table
+        for key, value in zip(keys, unit):
+            rows = rows.where(F.col(key) == value)
+        train = rows.where(F.col(month) < F.lit(start))
+        test = rows.where((F.col(month) >= F.lit(start)) & (F.col(month) < F.add_months(F.lit(start), span)))
+        model = fit(train, features, learner, label)
+        folder = "/".join([path, *[f"{name}={value}" for name, value in zip(names, unit)]])
+        with_predictions(score(model, test), label).select(month, "y", "p1", "yhat").write.mode("overwrite").parquet(folder)
+        return unit, model
+
+    models = in_parallel(spark, [lambda u=u: run(u) for u in units if tuple(map(str, u)) not in done])
+    return read_if_exists(spark, path), models
+
+
+def fitted_backtest(
+    table: DataFrame, features: list[str], start: date, end: date, span: int, learner: Learner, keys: list[str] = (),
+    label: str = "Y", month: str = "ym", step_months: int = 1, path: str | None = None,
+) -> tuple[DataFrame, list[tuple]]:
+    """Backtest table of a model refitted at every ``step_months``-th window start (per group of ``keys``).
+
+    The guards of all windows and groups are decided before any fit, by one aggregation over (keys, month,
+    class); the measures of all windows and groups come from one job over the stored predictions.
+    """
+    keys = list(keys)
+    on_step = F.months_between(F.col("window"), F.lit(start)).cast("int") % step_months == 0
+    sizes = window_class_counts(table, keys, span, start, end, label, month).where(on_step)
+    # One row per group and window: metadata that decides which fits are submitted.
+    status = with_window_status(sizes).where("status = 'scored'").select(*keys, "window")
+    units = sorted(tuple(r) for r in status.collect())
+    predictions, models = fitted_predictions(table, features, units, span, learner, keys, label, month, path)
+    if predictions is None:
+        none = F.lit(None).cast("double")
+        ranking = sizes.select(*keys, "window", none.alias("auc"), none.alias("pr_auc")).limit(0)
+    else:
+        ranking = ranking_measures(predictions.where(F.col("y") != EXIT), [*keys, "window"], "y", "p1")
+    return backtest_table(sizes, ranking, keys), models
+
+
+def backtest_economies(
+    table: DataFrame, features: list[str], start: date, end: date, span: int, learner: Learner, results: str, stamp: date,
+    label: str = "Y", month: str = "ym", step_months: int = 1, horizon: int = 12,
+) -> DataFrame:
+    """Backtest of every economy that has no stored result for this horizon; rows are stored, then returned.
+
+    Stored rows are keyed by (econ, horizon, date), so a restarted run adds what is missing.
+    """
+    spark = table.sparkSession
+    economies = table.select("econ").distinct()
+    todo = groups_to_run(economies, read_if_exists(spark, results), "econ", horizon)
+    rows, _ = fitted_backtest(
+        table.join(todo, "econ", "left_semi"), features, start, end, span, learner, ["econ"], label, month, step_months
+    )
+    tagged = rows.withColumns({"horizon": F.lit(horizon), "operation_date": F.lit(stamp)})
+    insert_ignore(tagged, results, ["econ", "horizon", "date"], ["econ", "horizon"])
+    return spark.read.parquet(results)
