@@ -124,9 +124,9 @@ def backtest_economies(
     """
     spark = table.sparkSession
     economies = table.select("econ").distinct()
-    todo = groups_to_run(economies, read_if_exists(spark, results), "econ", horizon)
+    todo = [r["econ"] for r in groups_to_run(economies, read_if_exists(spark, results), "econ", horizon).collect()]
     rows, _ = fitted_backtest(
-        table.join(todo, "econ", "left_semi"), features, start, end, span, learner, ["econ"], label, month, step_months
+        table.where(F.col("econ").isin(todo)), features, start, end, span, learner, ["econ"], label, month, step_months
     )
     tagged = rows.withColumns({"horizon": F.lit(horizon), "operation_date": F.lit(stamp)})
     insert_ignore(tagged, results, ["econ", "horizon", "date"], ["econ", "horizon"])
