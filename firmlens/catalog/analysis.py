@@ -15,6 +15,7 @@ from firmlens.functions.constants import DROP_KINDS
 from firmlens.operators import attribution, joins, labels, metrics, prep, scores, splits
 from firmlens.plans import backtest
 from firmlens.plans.registry import latest_versions
+from firmlens.session import stored
 from firmlens.sources import roles
 from firmlens.streaming.daily import missing_inputs
 
@@ -139,7 +140,7 @@ blocks AS (SELECT firm, ym, i, CASE WHEN i < n - 5 * (n // 6) THEN 0 ELSE (i - (
 
 @query("split_expanding_kfold", "firm:i ym:d block:i", _BLOCKS_SQL + " SELECT firm, ym, block FROM blocks")
 def split_expanding_kfold(spark: SparkSession, folder: str) -> DataFrame:
-    return splits.expanding_blocks(roles.panel(spark, folder).select("firm", "ym"), 5)
+    return splits.expanding_blocks(stored(roles.panel(spark, folder).select("firm", "ym")), 5)
 
 
 @query("agg_fold_ranges", "fold:i role first_day:d last_day:d first_row:i last_row:i n_rows:i", _BLOCKS_SQL + """
@@ -147,7 +148,7 @@ SELECT fold, CASE WHEN block = fold THEN 'val' ELSE 'train' END AS role, min(ym)
   min(i) AS first_row, max(i) AS last_row, count(*) AS n_rows
 FROM blocks JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS fold) ON block <= fold GROUP BY ALL""")
 def agg_fold_ranges(spark: SparkSession, folder: str) -> DataFrame:
-    return splits.fold_ranges(splits.expanding_blocks(roles.panel(spark, folder).select("firm", "ym"), 5))
+    return splits.fold_ranges(splits.expanding_blocks(stored(roles.panel(spark, folder).select("firm", "ym")), 5))
 
 
 @query("split_year", "role n_rows:i n_default:i", P + """
@@ -446,7 +447,7 @@ _BY_ECON_SQL = (
 
 @query("met_series_by_econ", "horizon:i econ:i win:d auc:r pr_auc:r", _BY_ECON_SQL)
 def met_series_by_econ(spark: SparkSession, folder: str) -> DataFrame:
-    df = outcomes(spark, folder)
+    df = stored(outcomes(spark, folder), "outcomes")
     monthly = metrics.monthly_series(df, ["econ"], "is_default_1m", "pd_1m").withColumnRenamed("ym", "win")
     rolling = metrics.rolling_series(df, ["econ"], "is_default_12m", "pd_12m", FIRST, LAST).withColumnRenamed("window", "win")
     return prep.stamped(monthly, horizon=1).unionByName(prep.stamped(rolling, horizon=12))
@@ -467,7 +468,7 @@ _TWO = S + """, models AS (
 flags AS (SELECT *, CASE WHEN y = 1 THEN 1 ELSE 0 END AS flag FROM models), """
 
 
-@query("met_ar_vs_reference", "econ:i auc_current:r auc_reference:r ar_current:r ar_reference:r auc_difference:r passed",
+@query("met_ar_vs_reference", "econ:i auc_current:r auc_reference:r ar_current:r ar_reference:r auc_difference:r passed:i",
        _TWO + auc_ctes("flags", "econ, model", "flag", "p1") + """
 SELECT a.econ, a.auc AS auc_current, b.auc AS auc_reference, 2 * a.auc - 1 AS ar_current, 2 * b.auc - 1 AS ar_reference,
   b.auc - a.auc AS auc_difference, abs(b.auc - a.auc) <= 0.1 * abs(b.auc) AS passed
@@ -493,7 +494,7 @@ FROM simple JOIN macro USING (model) JOIN (SELECT model, avg(auc) AS auc_ovr_mac
 
 @query("met_quality_table", "model accuracy:r log_loss:r precision_macro:r recall_macro:r f1_macro:r auc_ovr_macro:r", _QUALITY_SQL)
 def met_quality_table(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.quality_table(two_models(spark, folder), ["model"])
+    return metrics.quality_table(stored(two_models(spark, folder), "models"), ["model"])
 
 
 @query("met_long_form", "run_id metric value:r", _QUALITY_SQL.replace("SELECT model, accuracy, log_loss, precision_macro", ", wide AS (SELECT model, accuracy, log_loss, precision_macro").rstrip() + """)
@@ -503,7 +504,7 @@ UNION ALL SELECT model, 'outsample_ovr_precision_macro', precision_macro FROM wi
 UNION ALL SELECT model, 'outsample_ovr_recall_macro', recall_macro FROM wide
 UNION ALL SELECT model, 'outsample_accuracy', accuracy FROM wide""")
 def met_long_form(spark: SparkSession, folder: str) -> DataFrame:
-    wide = metrics.quality_table(two_models(spark, folder), ["model"]).withColumnRenamed("model", "run_id")
+    wide = metrics.quality_table(stored(two_models(spark, folder), "models"), ["model"]).withColumnRenamed("model", "run_id")
     names = {"auc_ovr_macro": "outsample_ovr_auc", "f1_macro": "outsample_ovr_f1_macro", "precision_macro": "outsample_ovr_precision_macro",
              "recall_macro": "outsample_ovr_recall_macro", "accuracy": "outsample_accuracy"}
     return metrics.long_form(wide, ["run_id"], names)

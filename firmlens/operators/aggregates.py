@@ -102,10 +102,8 @@ def data_profile(df: DataFrame, keys: list[str], columns: list[str], exact: bool
     ]
     shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     if exact:
-        cells = long.where(F.col("x").isNotNull()).groupBy(*by, "x").agg(F.count(F.lit(1)).alias("n"))
-        distinct = cells.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("distinct"))
-        quartiles = exact_quantiles(long, by, "x", shares)
-        stats = long.groupBy(*by).agg(*simple).join(distinct, by, "left").join(quartiles, by, "left")
+        quartiles = exact_quantiles(long, by, "x", shares, distinct="distinct")
+        stats = long.groupBy(*by).agg(*simple).join(quartiles, by, "left")
     else:
         sketches = [F.percentile_approx("x", q).alias(n) for n, q in shares.items()]
         stats = long.groupBy(*by).agg(*simple, F.approx_count_distinct("x", 0.01).cast("double").alias("distinct"), *sketches)

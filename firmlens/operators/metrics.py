@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlens.functions.constants import DEFAULT
-from firmlens.operators.ranges import quantile_cuts
-from firmlens.operators.scores import auc_from_counts, ranking_from_counts, ranking_measures, roc_auc, roc_curve, score_counts
+from firmlens.operators.scores import counts_and_cuts, ranking_from_counts, ranking_measures, roc_auc
 from firmlens.operators.splits import window_starts
 
 PAIRS = [(0, 1), (0, 2)]
@@ -76,14 +75,12 @@ def one_vs_one(
         F.element_at(probs, F.col("pair.b") + 1).alias("score"),
     )
     by = [*keys, "pair"]
-    if cuts is None:
-        cuts = quantile_cuts(rows, "score")
     share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     hit, called, actual = F.sum(F.col("pos") * F.col("called")), F.sum("called"), F.sum("pos")
     calls = rows.groupBy(*by).agg(
         share(2 * hit, called + actual).alias("f1"), share(hit, called).alias("prec"), share(hit, actual).alias("rec")
     )
-    ranks = auc_from_counts(score_counts(rows, by, "pos", "score"), by, cuts).select(*by, "auc")
+    ranks = roc_auc(rows, by, "pos", "score", cuts).select(*by, "auc")
     return calls.join(ranks, by).withColumn("ar", 2 * F.col("auc") - 1)
 
 
@@ -140,9 +137,7 @@ def rolling_series(
     Rows are counted per (keys, month, score) before the counts are repeated over windows, so rows that
     share a score are repeated once, and the label counts of all windows are added map-side.
     """
-    if cuts is None:
-        cuts = quantile_cuts(df, score)
-    monthly = score_counts(df, [*keys, month], label, score)
+    monthly, cuts = counts_and_cuts(df, [*keys, month], label, score, cuts)
     repeated = window_starts(monthly, span, start, end, month)
     cells = repeated.groupBy(*keys, "window", "score").agg(F.sum("npos").alias("npos"), F.sum("nneg").alias("nneg"))
     return ranking_from_counts(cells, [*keys, "window"], cuts)

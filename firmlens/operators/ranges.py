@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmlens.session import parallel_parts
+from firmlens.session import parallel_parts, stored
 
 BUCKET = "bucket_"
 
@@ -66,12 +66,17 @@ def running_totals(
     return out.drop(BUCKET, *[f"off_{c}" for c in sums])
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], column: str, probabilities: dict[str, float], cuts: list[float] | None = None) -> DataFrame:
-    """Exact interpolated quantiles per group, one column per name, by counting instead of collecting values."""
+def exact_quantiles(df: DataFrame, keys: list[str], column: str, probabilities: dict[str, float],
+                    cuts: list[float] | None = None, distinct: str | None = None) -> DataFrame:
+    """Exact interpolated quantiles per group, one column per name, by counting instead of collecting values.
+
+    ``distinct`` names an extra column for the number of distinct values, which the counts give for free.
+    """
     present = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
-    if cuts is None:
-        cuts = quantile_cuts(present, column)
     cells = present.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n"))
+    if cuts is None:
+        cells = stored(cells, "value_counts")
+        cuts = quantile_cuts(cells, column)
     placed = running_totals(cells, keys, column, ["n"], cuts)
 
     def at(position: Column) -> Column:
@@ -81,8 +86,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], column: str, probabilities:
     for name, q in probabilities.items():
         place = (F.col("all_n") - 1) * q
         aggs += [at(F.floor(place)).alias(f"lo_{name}"), at(F.ceil(place)).alias(f"hi_{name}"), F.max(place - F.floor(place)).alias(f"part_{name}")]
-    found = placed.groupBy(*keys).agg(*aggs)
+    found = placed.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).cast("double").alias("cells_"))
     return found.select(
         *keys,
+        *([F.col("cells_").alias(distinct)] if distinct else []),
         *[(F.col(f"lo_{n}") + (F.col(f"hi_{n}") - F.col(f"lo_{n}")) * F.col(f"part_{n}")).alias(n) for n in probabilities],
     )

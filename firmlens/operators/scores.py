@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlens.operators.ranges import BUCKET, quantile_cuts, running_totals, with_bucket
+from firmlens.session import stored
 
 
 def score_counts(df: DataFrame, keys: list[str], label: str, score: str, weight: str | None = None) -> DataFrame:
@@ -25,6 +26,21 @@ def score_counts(df: DataFrame, keys: list[str], label: str, score: str, weight:
     )
 
 
+def counts_and_cuts(
+    df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None
+) -> tuple[DataFrame, list[float]]:
+    """Score counts and the cut points for them.
+
+    Without given cuts the counts are stored first: the rows behind them (often joins or a model) are then
+    evaluated once, and the cuts balance the distinct scores that are actually shuffled.
+    """
+    cells = score_counts(df, keys, label, score)
+    if cuts is None:
+        cells = stored(cells, "score_counts")
+        cuts = quantile_cuts(cells, "score")
+    return cells, cuts
+
+
 def auc_from_counts(cells: DataFrame, keys: list[str], cuts: list[float]) -> DataFrame:
     """(keys, n_pos, n_neg, auc) from score counts; AUC is NULL when one class is missing.
 
@@ -51,9 +67,8 @@ def auc_from_counts(cells: DataFrame, keys: list[str], cuts: list[float]) -> Dat
 
 def roc_auc(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
     """Exact ROC-AUC with ties per group."""
-    if cuts is None:
-        cuts = quantile_cuts(df, score)
-    return auc_from_counts(score_counts(df, keys, label, score), keys, cuts)
+    cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
+    return auc_from_counts(cells, keys, cuts)
 
 
 def threshold_points(cells: DataFrame, keys: list[str], cuts: list[float]) -> DataFrame:
@@ -70,18 +85,16 @@ def threshold_points(cells: DataFrame, keys: list[str], cuts: list[float]) -> Da
 
 def roc_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
     """(keys, threshold, fpr, tpr), one point per distinct score; the (0, 0) start is implied."""
-    if cuts is None:
-        cuts = quantile_cuts(df, score)
-    points = threshold_points(score_counts(df, keys, label, score), keys, cuts)
+    cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
+    points = threshold_points(cells, keys, cuts)
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
     return points.select(*keys, F.col("score").alias("threshold"), share("cfp", "n_neg").alias("fpr"), share("ctp", "n_pos").alias("tpr"))
 
 
 def pr_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
     """(keys, threshold, prec, rec), one point per distinct score; recall is 1 throughout without positives."""
-    if cuts is None:
-        cuts = quantile_cuts(df, score)
-    points = threshold_points(score_counts(df, keys, label, score), keys, cuts)
+    cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
+    points = threshold_points(cells, keys, cuts)
     return points.select(
         *keys,
         F.col("score").alias("threshold"),
@@ -116,6 +129,5 @@ def ranking_from_counts(cells: DataFrame, keys: list[str], cuts: list[float]) ->
 
 def ranking_measures(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
     """ROC-AUC and PR-AUC per group."""
-    if cuts is None:
-        cuts = quantile_cuts(df, score)
-    return ranking_from_counts(score_counts(df, keys, label, score), keys, cuts)
+    cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
+    return ranking_from_counts(cells, keys, cuts)

@@ -132,13 +132,20 @@ def class_count_columns(label: str = "Y") -> list[Column]:
 def window_class_counts(
     df: DataFrame, keys: list[str], span: int, start: date, end: date, label: str = "Y", month: str = "ym",
 ) -> DataFrame:
-    """Per window: train and test sizes and class counts, all from per-month class counts.
+    """Per window: train and test sizes and class counts; the panel is aggregated once to (keys, month)."""
+    monthly = df.groupBy(*keys, month).agg(*class_count_columns(label))
+    return window_counts_from_monthly(monthly, keys, span, start, end, month)
+
 
-    The panel is aggregated once to (keys, month); expanding train counts are a running sum over months.
+def window_counts_from_monthly(
+    monthly: DataFrame, keys: list[str], span: int, start: date, end: date, month: str = "ym",
+) -> DataFrame:
+    """Window counts from class counts per (keys, month): one row per group and month, whatever the panel's size.
+
+    Expanding train counts are a running sum over months.
     """
-    spark = df.sparkSession
+    spark = monthly.sparkSession
     counts = ["n_rows", "n0", "n1", "n2"]
-    monthly = df.groupBy(*keys, month).agg(*class_count_columns(label))
     test = window_starts(monthly, span, start, end, month).groupBy(*keys, "window").agg(
         *[F.sum(c).alias(f"test_{c}") for c in counts]
     )

@@ -9,25 +9,19 @@ from pyspark.sql import functions as F
 
 from firmlens.functions.constants import EXIT
 from firmlens.operators.ranges import quantile_cuts
-from firmlens.operators.scores import ranking_from_counts, ranking_measures, score_counts
-from firmlens.operators.splits import window_class_counts, window_starts, with_window_status
+from firmlens.operators.scores import ranking_from_counts, ranking_measures
+from firmlens.operators.splits import (
+    class_count_columns,
+    window_class_counts,
+    window_counts_from_monthly,
+    window_starts,
+    with_window_status,
+)
 from firmlens.plans.learn import Learner, fit, in_parallel, score, with_predictions
-from firmlens.session import scratch_path
+from firmlens.session import scratch_path, stored
 from firmlens.sources.sinks import groups_to_run, insert_ignore, read_if_exists
 
 
-def windowed_ranking(df: DataFrame, keys: list[str], start: date, end: date, span: int, label: str, score: str,
-                     month: str = "ym", cuts: list[float] | None = None) -> DataFrame:
-    """AUC and PR-AUC (default against none, exits left out) of every window and group."""
-    rows = df.where(F.col(label) != EXIT)
-    if cuts is None:
-        cuts = quantile_cuts(df, score)
-    monthly = score_counts(rows, [*keys, month], label, score)
-    repeated = window_starts(monthly, span, start, end, month)
-    cells = repeated.groupBy(*keys, "window", "score").agg(F.sum("npos").alias("npos"), F.sum("nneg").alias("nneg"))
-    return ranking_from_counts(cells, [*keys, "window"], cuts)
-
-
 def backtest_table(sizes: DataFrame, ranking: DataFrame, keys: list[str]) -> DataFrame:
     """Result rows of a backtest from window class counts and window ranking measures.
 
@@ -51,10 +45,22 @@ def backtest_table(sizes: DataFrame, ranking: DataFrame, keys: list[str]) -> Dat
 
 def relational_backtest(df: DataFrame, keys: list[str], start: date, end: date, span: int = 12, label: str = "Y",
                         score: str = "score", month: str = "ym", cuts: list[float] | None = None) -> DataFrame:
-    """Whole backtest table of a stored score: windows, guards, sizes and measures of all groups in one job."""
-    ranking = windowed_ranking(df, keys, start, end, span, label, score, month, cuts)
-    sizes = window_class_counts(df, keys, span, start, end, label, month)
-    return backtest_table(sizes, ranking, keys)
+    """Whole backtest table of a stored score: windows, guards, sizes and measures of all groups in one job.
+
+    The rows are read once, into class counts per (keys, month, score). Window sizes, guards and the ranking
+    measures (default against none, exits left out) are all taken from that table, which is stored because
+    three branches read it and its score distribution gives the cut points.
+    """
+    cells = df.where(F.col(score).isNotNull()).groupBy(*keys, month, F.col(score).alias("score")).agg(*class_count_columns(label))
+    if cuts is None:
+        cells = stored(cells, "backtest_counts")
+        cuts = quantile_cuts(cells, "score")
+    repeated = window_starts(cells.where("n0 + n1 > 0"), span, start, end, month)
+    per_window = repeated.groupBy(*keys, "window", "score").agg(F.sum("n1").alias("npos"), F.sum("n0").alias("nneg"))
+    ranking = ranking_from_counts(per_window, [*keys, "window"], cuts)
+    counts = ["n_rows", "n0", "n1", "n2"]
+    monthly = cells.groupBy(*keys, month).agg(*[F.sum(c).alias(c) for c in counts])
+    return backtest_table(window_counts_from_monthly(monthly, keys, span, start, end, month), ranking, keys)
 
 
 def fitted_predictions(

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app_name: str = "firmlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,13 +47,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Reliable checkpoint below the shared folder (lineage is cut, data survives executor loss)."""
-    spark = df.sparkSession
-    root = shared_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint()
+def stored(df: DataFrame, label: str = "stored") -> DataFrame:
+    """The frame written once as parquet below the shared folder and read back.
+
+    For frames that several branches read: they are computed once, lineage is cut, readers keep column
+    pruning, and a lost executor costs a re-read. The known schema spares the footer-inference job.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def parallel_parts(spark: SparkSession) -> int:

@@ -17,7 +17,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def cents(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("long")
+    return F.rint(F.col(column) * 100).cast("long")
 
 
 def panel(spark: SparkSession, folder: str, lines: bool = False) -> DataFrame:
