@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlens.functions.constants import DEFAULT
-from firmlens.operators.scores import counts_and_cuts, ranking_from_counts, ranking_measures, roc_auc
-from firmlens.operators.splits import window_starts
+from firmlens.operators.scores import counts_and_cuts, ranking_measures, ranking_over_windows, roc_auc
 
 PAIRS = [(0, 1), (0, 2)]
 
@@ -132,15 +131,9 @@ def rolling_series(
     df: DataFrame, keys: list[str], label: str, score: str, start, end, span: int = 12, month: str = "ym",
     cuts: list[float] | None = None,
 ) -> DataFrame:
-    """AUC and PR-AUC over windows of ``span`` months starting every month.
-
-    Rows are counted per (keys, month, score) before the counts are repeated over windows, so rows that
-    share a score are repeated once, and the label counts of all windows are added map-side.
-    """
+    """AUC and PR-AUC over windows of ``span`` months starting every month; rows are counted per month first."""
     monthly, cuts = counts_and_cuts(df, [*keys, month], label, score, cuts)
-    repeated = window_starts(monthly, span, start, end, month)
-    cells = repeated.groupBy(*keys, "window", "score").agg(F.sum("npos").alias("npos"), F.sum("nneg").alias("nneg"))
-    return ranking_from_counts(cells, [*keys, "window"], cuts)
+    return ranking_over_windows(monthly, keys, cuts, span, start, end, month)
 
 
 def compare_to_reference(df: DataFrame, model: str, current: str, reference: str | None, label: str = "y", score: str = "p1",

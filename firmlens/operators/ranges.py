@@ -39,31 +39,34 @@ def with_bucket(df: DataFrame, column: str, cuts: list[float]) -> DataFrame:
     return out.drop("cut_value_").withColumn(BUCKET, F.col(BUCKET).cast("int"))
 
 
+def range_totals(cells: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    """Totals per (keys, range) of cells that carry their range number."""
+    return cells.groupBy(*keys, BUCKET).agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def running_totals(
-    cells: DataFrame, keys: list[str], order: str, sums: list[str], cuts: list[float], descending: bool = False,
-    tie: list[str] = (),
+    cells: DataFrame, totals: DataFrame, keys: list[str], order: str, sums: list[str], descending: bool = False,
 ) -> DataFrame:
     """Adds ``before_<c>`` (total of the rows that come earlier) and ``all_<c>`` (group total) for each sum.
 
-    One shuffle of the cells by (keys, range); the range totals that are joined in are one row per group
-    and range, and both sides need the same partitioning.
+    ``cells`` carry their range number (``with_bucket``) and ``totals`` are their sums per (keys, range), from
+    ``range_totals`` or a cheaper source. The cells are shuffled once by (keys, range). They are the left side
+    of a left join, so only the range totals (one row per group and range) can ever be broadcast, and are only
+    when the session's size threshold allows it.
     """
-    cells = with_bucket(cells, order, cuts)
     flip = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    totals = cells.groupBy(*keys, BUCKET).agg(*[F.sum(c).alias(f"sum_{c}") for c in sums])
     over_ranges = Window.partitionBy(*keys).orderBy(flip(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy(*keys)
     offsets = totals.select(
         *keys, BUCKET,
-        *[F.coalesce(F.sum(f"sum_{c}").over(over_ranges), F.lit(0)).alias(f"off_{c}") for c in sums],
-        *[F.sum(f"sum_{c}").over(group).alias(f"all_{c}") for c in sums],
-    )
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(flip(order), *tie).rowsBetween(Window.unboundedPreceding, -1)
-    joined = cells.join(offsets, [*keys, BUCKET])
-    out = joined.withColumns(
-        {f"before_{c}": F.col(f"off_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums}
+        *[F.coalesce(F.sum(c).over(over_ranges), F.lit(0)).alias(f"off_{c}") for c in sums],
+        *[F.sum(c).over(group).alias(f"all_{c}") for c in sums],
     )
-    return out.drop(BUCKET, *[f"off_{c}" for c in sums])
+    inside = Window.partitionBy(*keys, BUCKET).orderBy(flip(order)).rowsBetween(Window.unboundedPreceding, -1)
+    placed = cells.withColumns({f"run_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
+    joined = placed.join(offsets, [*keys, BUCKET], "left")
+    out = joined.withColumns({f"before_{c}": F.col(f"off_{c}") + F.col(f"run_{c}") for c in sums})
+    return out.drop(BUCKET, *[f"off_{c}" for c in sums], *[f"run_{c}" for c in sums])
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], column: str, probabilities: dict[str, float],
@@ -77,7 +80,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], column: str, probabilities:
     if cuts is None:
         cells = stored(cells, "value_counts")
         cuts = quantile_cuts(cells, column)
-    placed = running_totals(cells, keys, column, ["n"], cuts)
+    cells = with_bucket(cells, column, cuts)
+    placed = running_totals(cells, range_totals(cells, keys, ["n"]), keys, column, ["n"])
 
     def at(position: Column) -> Column:
         return F.max(F.when((F.col("before_n") <= position) & (position < F.col("before_n") + F.col("n")), F.col(column)))

@@ -6,10 +6,13 @@ size are handled through value ranges (see ``ranges``).
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmlens.operators.ranges import BUCKET, quantile_cuts, running_totals, with_bucket
+from firmlens.operators.ranges import BUCKET, quantile_cuts, range_totals, running_totals, with_bucket
+from firmlens.operators.splits import window_starts
 from firmlens.session import stored
 
 
@@ -71,9 +74,15 @@ def roc_auc(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[f
     return auc_from_counts(cells, keys, cuts)
 
 
-def threshold_points(cells: DataFrame, keys: list[str], cuts: list[float]) -> DataFrame:
-    """One row per distinct score with the counts at and above it (ctp, cfp) and the group's totals."""
-    placed = running_totals(cells, keys, "score", ["npos", "nneg"], cuts, descending=True)
+def threshold_points(cells: DataFrame, keys: list[str], totals: DataFrame | None = None) -> DataFrame:
+    """One row per distinct score with the counts at and above it (ctp, cfp) and the group's totals.
+
+    The cells carry their range number; ``totals`` may give their sums per range from a cheaper source.
+    """
+    sums = ["npos", "nneg"]
+    if totals is None:
+        totals = range_totals(cells, keys, sums)
+    placed = running_totals(cells, totals, keys, "score", sums, descending=True)
     return placed.select(
         *keys, "score", "npos", "nneg",
         (F.col("before_npos") + F.col("npos")).alias("ctp"),
@@ -86,7 +95,7 @@ def threshold_points(cells: DataFrame, keys: list[str], cuts: list[float]) -> Da
 def roc_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
     """(keys, threshold, fpr, tpr), one point per distinct score; the (0, 0) start is implied."""
     cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
-    points = threshold_points(cells, keys, cuts)
+    points = threshold_points(with_bucket(cells, "score", cuts), keys)
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
     return points.select(*keys, F.col("score").alias("threshold"), share("cfp", "n_neg").alias("fpr"), share("ctp", "n_pos").alias("tpr"))
 
@@ -94,7 +103,7 @@ def roc_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list
 def pr_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
     """(keys, threshold, prec, rec), one point per distinct score; recall is 1 throughout without positives."""
     cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
-    points = threshold_points(cells, keys, cuts)
+    points = threshold_points(with_bucket(cells, "score", cuts), keys)
     return points.select(
         *keys,
         F.col("score").alias("threshold"),
@@ -103,13 +112,13 @@ def pr_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[
     )
 
 
-def ranking_from_counts(cells: DataFrame, keys: list[str], cuts: list[float]) -> DataFrame:
-    """(keys, n_pos, n_neg, auc, pr_auc) from score counts.
+def ranking_from_cells(cells: DataFrame, keys: list[str], totals: DataFrame | None = None) -> DataFrame:
+    """(keys, n_pos, n_neg, auc, pr_auc) from score counts that carry their range number.
 
     PR-AUC is the trapezoid over the points, anchored at recall 0 and precision 1; a point's predecessor
     is the point minus its own counts, so no lag across ranges is needed. Without positives it is 0.5.
     """
-    points = threshold_points(cells, keys, cuts)
+    points = threshold_points(cells, keys, totals)
     seen = F.col("ctp") + F.col("cfp")
     earlier = seen - F.col("npos") - F.col("nneg")
     prec_before = F.when(earlier > 0, (F.col("ctp") - F.col("npos")) / earlier).otherwise(F.lit(1.0))
@@ -130,4 +139,23 @@ def ranking_from_counts(cells: DataFrame, keys: list[str], cuts: list[float]) ->
 def ranking_measures(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
     """ROC-AUC and PR-AUC per group."""
     cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
-    return ranking_from_counts(cells, keys, cuts)
+    return ranking_from_cells(with_bucket(cells, "score", cuts), keys)
+
+
+def ranking_over_windows(
+    monthly: DataFrame, keys: list[str], cuts: list[float], span: int, start: date, end: date, month: str = "ym",
+) -> DataFrame:
+    """ROC-AUC and PR-AUC of every window [w, w + span months) from score counts per (keys, month, score).
+
+    Counts are repeated over the windows they lie in and shuffled once, by (keys, window, range): adding them
+    up, the running totals and the join of the range totals all use that partitioning. The range totals are
+    repeated over windows on their own, after they are down to one row per (keys, month, range).
+    """
+    sums = ["npos", "nneg"]
+    by = [*keys, "window"]
+    add = [F.sum(c).alias(c) for c in sums]
+    cells = with_bucket(monthly, "score", cuts)
+    per_range = cells.groupBy(*keys, month, BUCKET).agg(*add)
+    totals = window_starts(per_range, span, start, end, month).groupBy(*by, BUCKET).agg(*add)
+    repeated = window_starts(cells, span, start, end, month).repartition(*by, BUCKET)
+    return ranking_from_cells(repeated.groupBy(*by, BUCKET, "score").agg(*add), by, totals)

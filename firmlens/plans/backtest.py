@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from firmlens.functions.constants import EXIT
 from firmlens.operators.ranges import quantile_cuts
-from firmlens.operators.scores import ranking_from_counts, ranking_measures
+from firmlens.operators.scores import ranking_measures, ranking_over_windows
 from firmlens.operators.splits import (
     class_count_columns,
     window_class_counts,
     window_counts_from_monthly,
-    window_starts,
     with_window_status,
 )
 from firmlens.plans.learn import Learner, fit, in_parallel, score, with_predictions
@@ -55,9 +54,8 @@ def relational_backtest(df: DataFrame, keys: list[str], start: date, end: date,
     if cuts is None:
         cells = stored(cells, "backtest_counts")
         cuts = quantile_cuts(cells, "score")
-    repeated = window_starts(cells.where("n0 + n1 > 0"), span, start, end, month)
-    per_window = repeated.groupBy(*keys, "window", "score").agg(F.sum("n1").alias("npos"), F.sum("n0").alias("nneg"))
-    ranking = ranking_from_counts(per_window, [*keys, "window"], cuts)
+    labelled = cells.where("n0 + n1 > 0").select(*keys, month, "score", F.col("n1").alias("npos"), F.col("n0").alias("nneg"))
+    ranking = ranking_over_windows(labelled, keys, cuts, span, start, end, month)
     counts = ["n_rows", "n0", "n1", "n2"]
     monthly = cells.groupBy(*keys, month).agg(*[F.sum(c).alias(c) for c in counts])
     return backtest_table(window_counts_from_monthly(monthly, keys, span, start, end, month), ranking, keys)
