@@ -6,12 +6,17 @@ load touches its own partitions only. All of them are bulk jobs: no row ever pas
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from firmlens.functions.columns import blank_to_null
-from firmlens.session import scratch_path
+from firmlens.session import stored
+
+STATIC_PARTITIONS = 1000
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -46,11 +51,29 @@ def rows_to_insert(new: DataFrame, target: DataFrame | None, keys: list[str], or
     return single if target is None else single.join(target.select(*keys), keys, "left_anti")
 
 
+def in_touched_partitions(target: DataFrame, new: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The target's rows in partitions that ``new`` has rows for.
+
+    The partition values of a load are few; they become a plain filter, which prunes folders at planning
+    time. A load that touches more than ``STATIC_PARTITIONS`` partitions goes through a semi join instead.
+    """
+    if not partition_by:
+        return target
+    touched = new.select(*partition_by).distinct()
+    values = touched.limit(STATIC_PARTITIONS + 1).collect()
+    if len(values) > STATIC_PARTITIONS:
+        return target.join(touched, partition_by, "left_semi")
+    hits = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in values]
+    return target.where(reduce(or_, hits, F.lit(False)))
+
+
 def insert_ignore(
     df: DataFrame, path: str, keys: list[str], partition_by: list[str] = (), order: list | None = None
 ) -> None:
     """Append the rows whose key is not stored yet."""
     target = read_if_exists(df.sparkSession, path)
+    if target is not None and set(partition_by) <= set(keys):
+        target = in_touched_partitions(target, df, list(partition_by))
     append(rows_to_insert(df, target, keys, order), path, partition_by)
 
 
@@ -71,31 +94,32 @@ def upserted(new: DataFrame, target: DataFrame | None, keys: list[str], order: l
     return picked.select(*[F.col(c) if c in keys else F.col(f"v_.{c}") for c in target.columns])
 
 
-def upsert(df: DataFrame, path: str, keys: list[str], partition_by: list[str], order: list) -> None:
+def upsert(
+    df: DataFrame, path: str, keys: list[str], partition_by: list[str], order: list, hash_parts: int = 8
+) -> None:
     """Upsert by key; only partitions that receive rows are rewritten.
 
-    The partition columns must be part of the key (a row never moves between partitions), so reading
-    the touched partitions is enough. The merged rows are first written to the shared scratch folder:
-    the final overwrite then reads nothing from the table it replaces and can simply be run again.
+    The partition columns must be part of the key (a row never moves between partitions), so reading the
+    touched partitions is enough. A table without partition columns is laid out by a hash of its key
+    (column ``part_``, ``hash_parts`` fixed per table). The merged rows are first written to the shared
+    scratch folder: the overwrite then reads nothing from the table it replaces, replaces partitions only
+    when all of its tasks are done, and can simply be run again.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the key")
     spark = df.sparkSession
+    layout = list(partition_by)
+    df = blank_to_null(df)
+    if not layout:
+        layout = ["part_"]
+        df = df.withColumn("part_", F.pmod(F.xxhash64(*keys), F.lit(hash_parts)).cast("int"))
+        keys = [*keys, "part_"]
     target = read_if_exists(spark, path)
     if target is None:
-        first_per_key(blank_to_null(df), keys, order).write.partitionBy(*partition_by).parquet(path)
+        first_per_key(df, keys, order).write.partitionBy(*layout).parquet(path)
         return
-    if partition_by:
-        target = target.join(df.select(*partition_by).distinct(), partition_by, "left_semi")
-    stage = scratch_path(spark, "upsert")
-    upserted(blank_to_null(df), target, keys, order).write.parquet(stage)
-    (
-        spark.read.parquet(stage)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    merged = stored(upserted(df, in_touched_partitions(target, df, layout), keys, order), "upsert")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(path)
 
 
 def rows_not_loaded(new: DataFrame, target: DataFrame | None, guard: list[str]) -> DataFrame:
@@ -108,6 +132,8 @@ def rows_not_loaded(new: DataFrame, target: DataFrame | None, guard: list[str])
 def append_if_not_loaded(df: DataFrame, path: str, guard: list[str], partition_by: list[str]) -> None:
     """Append whole loads once; a repeated load adds nothing."""
     target = read_if_exists(df.sparkSession, path)
+    if target is not None and set(partition_by) <= set(guard):
+        target = in_touched_partitions(target, df, partition_by)
     append(rows_not_loaded(df, target, guard), path, partition_by)
 
 
