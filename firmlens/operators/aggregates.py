@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlens.operators.ranges import exact_quantiles
+from firmlens.session import stored
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column], rows: int = 1) -> DataFrame:
@@ -53,8 +54,12 @@ def class_weights(df: DataFrame, label: str = "Y", keys: list[str] = ()) -> Data
 
 
 def weighted_rows(df: DataFrame, label: str = "Y", keys: list[str] = ()) -> DataFrame:
-    """Rows with their class's weight."""
-    weights = class_weights(df, label, keys).select(*keys, label, "weight")
+    """Rows with their class's weight.
+
+    The weights (one row per class and group) are stored first, so that the planner knows their size and
+    decides by its own threshold whether they can be broadcast instead of shuffling the rows by class.
+    """
+    weights = stored(class_weights(df, label, keys).select(*keys, label, "weight"), "weights")
     return df.join(weights, [*keys, label], "left")
 
 

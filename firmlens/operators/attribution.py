@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from firmlens.session import stored
+
 
 def ranked_features(df: DataFrame, top_n: int | None = None, year: str = "year") -> DataFrame:
     """Adds the rank of each feature within its year (1 = most important, names break ties)."""
@@ -73,11 +75,13 @@ def linear_attribution(df: DataFrame, weights: dict[str, float], keys: list[str]
     """Mean absolute attribution per feature and group of a linear score: mean |w_j * (x_j - mean_j)|.
 
     Both passes stay wide (one column per feature, missing values as 0), so no row is multiplied; only the
-    one result row per group is turned into (feature, importance) rows.
+    one result row per group is turned into (feature, importance) rows. The means (one row per group) are
+    stored first: with their size known, the planner's threshold decides about a broadcast, and rows of a
+    large group need not meet in one task.
     """
     features = list(weights)
     x = lambda f: F.coalesce(F.col(f).cast("double"), F.lit(0.0))
-    means = df.groupBy(*keys).agg(*[F.avg(x(f)).alias(f"mean_{f}") for f in features])
+    means = stored(df.groupBy(*keys).agg(*[F.avg(x(f)).alias(f"mean_{f}") for f in features]), "means")
     wide = df.join(means, keys).groupBy(*keys).agg(
         *[F.avg(F.abs(F.lit(float(w)) * (x(f) - F.col(f"mean_{f}")))).alias(f) for f, w in weights.items()]
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,21 +41,21 @@ def month_split(df: DataFrame, test_month: date, month: str = "ym") -> DataFrame
     return df.withColumn("role", role).where(F.col("role").isNotNull())
 
 
-def expanding_blocks(df: DataFrame, n_splits: int = 5, day: str = "ym", tie: str = "firm", cuts: list[float] | None = None) -> DataFrame:
-    """Adds ``block`` 0..n: fold f validates the rows of block f and trains on all blocks before it.
+def block_borders(
+    df: DataFrame, n_splits: int, day: str, tie: str, cuts: list[float] | None = None
+) -> list[tuple]:
+    """First (day, tie) of blocks 1..n in (day, tie) order; (day, tie) must be a key of the rows.
 
-    Blocks are equal row counts in (day, tie) order with the remainder in block 0. Rows are counted per
-    (day, range of the tie key); a cell that lies inside one block tags all of its rows at once, and only
-    the few cells that a block border falls into are numbered row by row. A cell is at most a
-    1/parts share of the rows, also when one day holds most of them.
+    Rows are counted per (day, range of the tie key), which tells the cell every border falls into; only
+    those cells (at most ``n_splits``, each about a 1/parts share of a day) are then numbered row by row.
     """
+    keys = df.select(day, tie)
     if cuts is None:
-        cuts = quantile_cuts(df, tie)
-    rows = with_bucket(df, tie, cuts)
-    cells = rows.groupBy(day, BUCKET).agg(F.count(F.lit(1)).alias("n"))
-    days = cells.groupBy(day).agg(F.sum("n").alias("n_day"))
+        cuts = quantile_cuts(keys, tie)
+    keys = with_bucket(keys, tie, cuts)
+    cells = keys.groupBy(day, BUCKET).agg(F.count(F.lit(1)).alias("n"))
     over_days = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)  # one row per day
-    days = days.select(
+    days = cells.groupBy(day).agg(F.sum("n").alias("n_day")).select(
         day,
         F.coalesce(F.sum("n_day").over(over_days), F.lit(0)).alias("day_start"),
         F.sum("n_day").over(Window.partitionBy(F.lit(1))).alias("total"),
@@ -61,20 +63,36 @@ def expanding_blocks(df: DataFrame, n_splits: int = 5, day: str = "ym", tie: str
     in_day = Window.partitionBy(day).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("day_start") + F.coalesce(F.sum("n").over(in_day), F.lit(0))
     placed = cells.join(days, day).select(day, BUCKET, "n", "total", start.alias("start"))
-
     size = F.floor(F.col("total") / (n_splits + 1))
-    first = F.col("total") - n_splits * size
-    block_at = lambda position: F.when(position < first, 0).otherwise(F.floor((position - first) / size) + 1).cast("int")
-    placed = placed.select(
-        day, BUCKET, "start", "total",
-        block_at(F.col("start")).alias("block"),
-        block_at(F.col("start") + F.col("n") - 1).alias("last_block"),
+    border = F.col("total") - (n_splits + 1 - F.col("block")) * size
+    found = (
+        placed.withColumn("block", F.explode(F.sequence(F.lit(1), F.lit(n_splits))))
+        .select("block", day, BUCKET, "start", "n", border.alias("border"))
+        .where((F.col("start") <= F.col("border")) & (F.col("border") < F.col("start") + F.col("n")))
+        .collect()
     )
-    whole = rows.join(placed.where("block = last_block").select(day, BUCKET, "block"), [day, BUCKET])
-    cut = rows.join(placed.where("block < last_block").select(day, BUCKET, "start", "total"), [day, BUCKET])
+    if not found:
+        return []
+    at_cell = lambda r: (F.col(day) == F.lit(r[day])) & (F.col(BUCKET) == r[BUCKET])
     in_cell = Window.partitionBy(day, BUCKET).orderBy(tie)
-    cut = cut.withColumn("block", block_at(F.col("start") + F.row_number().over(in_cell) - 1)).drop("start", "total")
-    return whole.drop(BUCKET).unionByName(cut.drop(BUCKET))
+    numbered = keys.where(reduce(or_, [at_cell(r) for r in found])).withColumn("i", F.row_number().over(in_cell))
+    wanted = [at_cell(r) & (F.col("i") == r["border"] - r["start"] + 1) for r in found]
+    return sorted(tuple(r) for r in numbered.where(reduce(or_, wanted)).select(day, tie).collect())
+
+
+def expanding_blocks(
+    df: DataFrame, n_splits: int = 5, day: str = "ym", tie: str = "firm", cuts: list[float] | None = None
+) -> DataFrame:
+    """Adds ``block`` 0..n: fold f validates the rows of block f and trains on all blocks before it.
+
+    Blocks are equal row counts in (day, tie) order with the remainder in block 0. Once the ``n_splits``
+    borders are known, the block of a row is a comparison: rows are neither shuffled nor joined.
+    """
+    reached = [
+        ((F.col(day) > F.lit(d)) | ((F.col(day) == F.lit(d)) & (F.col(tie) >= F.lit(t)))).cast("int")
+        for d, t in block_borders(df, n_splits, day, tie, cuts)
+    ]
+    return df.withColumn("block", reduce(add, reached, F.lit(0)))
 
 
 def fold_roles(df: DataFrame, n_splits: int = 5) -> DataFrame:
