@@ -196,7 +196,12 @@ def _class_series(spark: SparkSession, folder: str) -> DataFrame:
     return stamped(counts, horizon=12)
 
 
-@query("sink_metrics_csv", "econ:i horizon:i ym:d test_size:i test_positives:i")
+_SERIES_TEXT = f"""WITH {roles.PANEL_SQL}, series AS (
+  SELECT econ, ym, count(*) AS test_size, sum(CASE WHEN Y = 1 THEN 1 ELSE 0 END) AS test_positives FROM panel GROUP BY econ, ym)
+SELECT econ, 12 AS horizon, ym, test_size, test_positives FROM series"""
+
+
+@query("sink_metrics_csv", "econ:i horizon:i ym:d test_size:i test_positives:i", _SERIES_TEXT)
 def sink_metrics_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "series")
     sinks.write_series(_class_series(spark, folder), path, ["econ", "horizon"])
@@ -204,7 +209,8 @@ def sink_metrics_csv(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-@query("sink_append", "econ:i horizon:i ym:d test_size:i test_positives:i")
+@query("sink_append", "econ:i horizon:i ym:d test_size:i test_positives:i",
+       _SERIES_TEXT + " UNION ALL SELECT econ, 1, ym, test_size, test_positives FROM series")
 def sink_append(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "append")
     sinks.append(_class_series(spark, folder), path, ["econ"])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app_name: str = "firmlens", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs rely on; the cluster's own settings win over none of them."""
+    """A session with the settings the jobs rely on; further settings are passed by name."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -26,20 +25,24 @@ def get_spark(app_name: str = "firmlens", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only a local master may fall back to a temporary folder: on a cluster the executors would
-    each see a different one.
+    Only a local master may fall back to a temporary folder, one per application: on a cluster the
+    executors would each see a different one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="run-")
+    return _local_roots[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
