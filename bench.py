@@ -34,7 +34,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_spark(
         "firmlens-bench", f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": cpus, "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k", "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["bt_relational_core"](spark, folder).write.format("noop").mode("overwrite").save()

@@ -123,6 +123,7 @@ def metadata_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "company": roles.table(spark, folder, "customer").select(F.col("c_custkey").alias("comp_id"), F.col("c_name").alias("company_name")),
         "metrics_type": names([(1, "default_rate"), (2, "n_rows")], "metrics_type_id", "metrics_name"),
         "model_type": names([(1, "boosted"), (2, "linear")], "model_type_id", "model_name"),
+        "metric": names([(1, "auc"), (2, "ar")], "metric_id", "metric_name"),
         "target": names([(1, "pd_poe_1"), (2, "pd_poe_12")], "target_id", "target_name"),
         "model": per_model.select("model_id", (F.col("year") % 2 + 1).alias("model_type_id"), (F.col("year") - 1994).alias("version"),
                                   F.col("econ").alias("econ_id"), F.lit(1).alias("target_id")),
@@ -150,13 +151,14 @@ metrics AS (SELECT 1 AS metrics_type_id, model_id, n1 / n AS value FROM per_mode
 SELECT 'econ' AS table_name, n_nationkey AS id, n_name AS name FROM nation
 UNION ALL SELECT 'company', c_custkey, c_name FROM customer
 UNION ALL SELECT 'metrics_type', 1, 'default_rate' UNION ALL SELECT 'metrics_type', 2, 'n_rows'
+UNION ALL SELECT 'metric', 1, 'auc' UNION ALL SELECT 'metric', 2, 'ar'
 UNION ALL SELECT 'model_type', 1, 'boosted' UNION ALL SELECT 'model_type', 2, 'linear'
 UNION ALL SELECT 'target', 1, 'pd_poe_1' UNION ALL SELECT 'target', 2, 'pd_poe_12'""")
 def src_dimension_tables(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_path(spark, "star")
     star = metadata_star(spark, folder)
     out = None
-    for name in ("econ", "company", "metrics_type", "model_type", "target"):
+    for name in ("econ", "metric", "company", "metrics_type", "model_type", "target"):
         star[name].write.parquet(f"{root}/{name}")
         df = readers.read_table(spark, name, root)
         rows = df.select(F.lit(name).alias("table_name"), F.col(df.columns[0]).cast("long").alias("id"), F.col(df.columns[1]).alias("name"))

@@ -73,13 +73,21 @@ def keep_latest(path: str, firm: list[str], order: list[str], partition_by: list
 
 def score_and_load(
     score: Callable[[DataFrame], DataFrame], path: str, firm: list[str], month_parts: list[str], order: list[str],
-    guard: list[str], partition_by: list[str],
+    guard: list[str], partition_by: list[str], companions: dict[str, DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Batch handler: latest complete row per firm and load -> scores -> guarded append."""
+    """Batch handler: latest complete row per firm and load -> scores -> guarded append.
+
+    ``companions`` are the other inputs of a drop (event history, statistical predictions) by target path;
+    their rows of the batch's loads are appended under the same guard.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         known = drop_missing(batch, month_parts)
         latest = latest_per_key(known, [*guard, *firm], [F.col(c).desc() for c in order])
         sinks.append_if_not_loaded(score(latest), path, guard, partition_by)
+        for target, rows in (companions or {}).items():
+            # The loads of a batch are few, so they become a plain filter that prunes the drop's folders.
+            arrived = sinks.in_touched_partitions(rows, batch, partition_by)
+            sinks.append_if_not_loaded(arrived, target, guard, partition_by)
 
     return handle

@@ -55,6 +55,8 @@ def test_searches(spark, table):
     base = learn.Learner("forest", n_estimators=2, max_depth=2)
     grid = learn.grid_search(blocks, FEATURES, {"max_depth": [1, 3], "num_leaves": [31, 64]}, n_splits=2, base=base).collect()
     assert len(grid) == 4 and all(r.mean_loss > 0 for r in grid)
+    stopped = learn.random_search(blocks, FEATURES, trials=1, n_splits=2, base=learn.Learner("boosted", n_estimators=3), early_stopping=True)
+    assert stopped.first().max_auc > 0.5
     trials = learn.random_search(blocks, FEATURES, trials=2, n_splits=2, base=base)
     assert learn.draw_settings(3, 7) == learn.draw_settings(3, 7)
     assert trials.count() == 2 and trials.where("max_auc >= 0.5").count() == 2
