@@ -1,7 +1,8 @@
 """Times the headline queries and prints one JSON line.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS (default 8) the local cores.
-Each query runs once to warm the JVM on the smallest tables beside it, then once with its result consumed.
+BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS (default 8) the local cores. Where the
+smallest tables (sf0.001) lie beside them, each relational query is run on those first, so that the timed run
+measures work instead of class loading. Results are consumed in full.
 """
 
 from __future__ import annotations
@@ -37,11 +38,17 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": cpus, "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k", "spark.driver.memory": "16g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    QUERIES["bt_relational_core"](spark, folder).write.format("noop").mode("overwrite").save()
+    small = os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.001")
+
+    def run(name: str, where: str) -> None:
+        QUERIES[name](spark, where).write.format("noop").mode("overwrite").save()
+
     times = {}
     for name in HEADLINE:
+        if os.path.isdir(small) and not name.startswith(("ml_", "bt_expanding")):
+            run(name, small)
         start = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        run(name, folder)
         times[name] = round(time.perf_counter() - start, 3)
     spark.stop()
     print(json.dumps({

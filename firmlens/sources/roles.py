@@ -8,12 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from firmlens.functions.constants import HORIZONS
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table of the folder; its schema is read from the files once, not for every use."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def cents(column: str) -> Column:
