@@ -44,29 +44,49 @@ def range_totals(cells: DataFrame, keys: list[str], sums: list[str]) -> DataFram
     return cells.groupBy(*keys, BUCKET).agg(*[F.sum(c).alias(c) for c in sums])
 
 
+def range_starts(totals: DataFrame, keys: list[str], sums: list[str], descending: bool = False) -> DataFrame:
+    """One start row per (keys, range): its sums are the totals of all earlier ranges, ``all_<c>`` those of the group."""
+    first = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
+    earlier = Window.partitionBy(*keys).orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*keys)
+    return totals.select(
+        *keys, BUCKET,
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).cast("long").alias(c) for c in sums],
+        *[F.sum(c).over(group).cast("long").alias(f"all_{c}") for c in sums],
+    )
+
+
+def stack_with_starts(cells: DataFrame, starts: DataFrame, order: str, sums: list[str]) -> DataFrame:
+    """Cells (``kind_`` 1) and start rows (``kind_`` 0) in one frame; a start row has no value of its own."""
+    marked = cells.withColumns({**{c: F.col(c).cast("long") for c in sums}, "kind_": F.lit(1)})
+    return marked.unionByName(starts.withColumn("kind_", F.lit(0)), allowMissingColumns=True)
+
+
+def cumulate(stacked: DataFrame, keys: list[str], order: str, sums: list[str], descending: bool = False) -> DataFrame:
+    """Adds ``before_<c>`` and ``all_<c>`` to the cells of a stacked frame.
+
+    Within its (keys, range) the start row comes first and opens every running total, so range totals reach
+    the cells without a join.
+    """
+    value = F.col(order).desc() if descending else F.col(order).asc()
+    so_far = Window.partitionBy(*keys, BUCKET).orderBy("kind_", value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = stacked.withColumns({
+        **{f"before_{c}": F.sum(c).over(so_far) - F.col(c) for c in sums},
+        **{f"all_{c}": F.first(f"all_{c}").over(so_far) for c in sums},
+    })
+    return out.where("kind_ = 1").drop("kind_", BUCKET)
+
+
 def running_totals(
-    cells: DataFrame, totals: DataFrame, keys: list[str], order: str, sums: list[str], descending: bool = False,
+    cells: DataFrame, keys: list[str], order: str, sums: list[str], descending: bool = False,
 ) -> DataFrame:
     """Adds ``before_<c>`` (total of the rows that come earlier) and ``all_<c>`` (group total) for each sum.
 
-    ``cells`` carry their range number (``with_bucket``) and ``totals`` are their sums per (keys, range), from
-    ``range_totals`` or a cheaper source. The cells are shuffled once by (keys, range). They are the left side
-    of a left join, so only the range totals (one row per group and range) can ever be broadcast, and are only
-    when the session's size threshold allows it.
+    ``cells`` hold the keys, the range number (``with_bucket``), the ordering value and the sums. They are
+    shuffled once, by (keys, range).
     """
-    flip = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    over_ranges = Window.partitionBy(*keys).orderBy(flip(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
-    group = Window.partitionBy(*keys)
-    offsets = totals.select(
-        *keys, BUCKET,
-        *[F.coalesce(F.sum(c).over(over_ranges), F.lit(0)).alias(f"off_{c}") for c in sums],
-        *[F.sum(c).over(group).alias(f"all_{c}") for c in sums],
-    )
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(flip(order)).rowsBetween(Window.unboundedPreceding, -1)
-    placed = cells.withColumns({f"run_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
-    joined = placed.join(offsets, [*keys, BUCKET], "left")
-    out = joined.withColumns({f"before_{c}": F.col(f"off_{c}") + F.col(f"run_{c}") for c in sums})
-    return out.drop(BUCKET, *[f"off_{c}" for c in sums], *[f"run_{c}" for c in sums])
+    starts = range_starts(range_totals(cells, keys, sums), keys, sums, descending)
+    return cumulate(stack_with_starts(cells, starts, order, sums), keys, order, sums, descending)
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], column: str, probabilities: dict[str, float],
@@ -81,7 +101,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], column: str, probabilities:
         cells = stored(cells, "value_counts")
         cuts = quantile_cuts(cells, column)
     cells = with_bucket(cells, column, cuts)
-    placed = running_totals(cells, range_totals(cells, keys, ["n"]), keys, column, ["n"])
+    placed = running_totals(cells, keys, column, ["n"])
 
     def at(position: Column) -> Column:
         return F.max(F.when((F.col("before_n") <= position) & (position < F.col("before_n") + F.col("n")), F.col(column)))

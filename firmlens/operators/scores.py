@@ -11,7 +11,15 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmlens.operators.ranges import BUCKET, quantile_cuts, range_totals, running_totals, with_bucket
+from firmlens.operators.ranges import (
+    BUCKET,
+    cumulate,
+    quantile_cuts,
+    range_starts,
+    running_totals,
+    stack_with_starts,
+    with_bucket,
+)
 from firmlens.operators.splits import window_starts
 from firmlens.session import stored
 
@@ -74,17 +82,13 @@ def roc_auc(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[f
     return auc_from_counts(cells, keys, cuts)
 
 
-def threshold_points(cells: DataFrame, keys: list[str], totals: DataFrame | None = None) -> DataFrame:
-    """One row per distinct score with the counts at and above it (ctp, cfp) and the group's totals.
+SUMS = ["npos", "nneg"]
 
-    The cells carry their range number; ``totals`` may give their sums per range from a cheaper source.
-    """
-    sums = ["npos", "nneg"]
-    if totals is None:
-        totals = range_totals(cells, keys, sums)
-    placed = running_totals(cells, totals, keys, "score", sums, descending=True)
+
+def as_points(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per distinct score with the counts at and above it (ctp, cfp) and the group's totals."""
     return placed.select(
-        *keys, "score", "npos", "nneg",
+        *keys, "score", *SUMS,
         (F.col("before_npos") + F.col("npos")).alias("ctp"),
         (F.col("before_nneg") + F.col("nneg")).alias("cfp"),
         F.col("all_npos").alias("n_pos"),
@@ -92,10 +96,16 @@ def threshold_points(cells: DataFrame, keys: list[str], totals: DataFrame | None
     )
 
 
+def threshold_points(cells: DataFrame, keys: list[str], cuts: list[float]) -> DataFrame:
+    """Points of score counts per (keys, score)."""
+    ranged = with_bucket(cells, "score", cuts).select(*keys, BUCKET, "score", *SUMS)
+    return as_points(running_totals(ranged, keys, "score", SUMS, descending=True), keys)
+
+
 def roc_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
     """(keys, threshold, fpr, tpr), one point per distinct score; the (0, 0) start is implied."""
     cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
-    points = threshold_points(with_bucket(cells, "score", cuts), keys)
+    points = threshold_points(cells, keys, cuts)
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
     return points.select(*keys, F.col("score").alias("threshold"), share("cfp", "n_neg").alias("fpr"), share("ctp", "n_pos").alias("tpr"))
 
@@ -103,7 +113,7 @@ def roc_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list
 def pr_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
     """(keys, threshold, prec, rec), one point per distinct score; recall is 1 throughout without positives."""
     cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
-    points = threshold_points(with_bucket(cells, "score", cuts), keys)
+    points = threshold_points(cells, keys, cuts)
     return points.select(
         *keys,
         F.col("score").alias("threshold"),
@@ -112,13 +122,12 @@ def pr_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[
     )
 
 
-def ranking_from_cells(cells: DataFrame, keys: list[str], totals: DataFrame | None = None) -> DataFrame:
-    """(keys, n_pos, n_neg, auc, pr_auc) from score counts that carry their range number.
+def ranking_of_points(points: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n_pos, n_neg, auc, pr_auc) from threshold points.
 
     PR-AUC is the trapezoid over the points, anchored at recall 0 and precision 1; a point's predecessor
     is the point minus its own counts, so no lag across ranges is needed. Without positives it is 0.5.
     """
-    points = threshold_points(cells, keys, totals)
     seen = F.col("ctp") + F.col("cfp")
     earlier = seen - F.col("npos") - F.col("nneg")
     prec_before = F.when(earlier > 0, (F.col("ctp") - F.col("npos")) / earlier).otherwise(F.lit(1.0))
@@ -139,7 +148,7 @@ def ranking_from_cells(cells: DataFrame, keys: list[str], totals: DataFrame | No
 def ranking_measures(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
     """ROC-AUC and PR-AUC per group."""
     cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
-    return ranking_from_cells(with_bucket(cells, "score", cuts), keys)
+    return ranking_of_points(threshold_points(cells, keys, cuts), keys)
 
 
 def ranking_over_windows(
@@ -147,15 +156,20 @@ def ranking_over_windows(
 ) -> DataFrame:
     """ROC-AUC and PR-AUC of every window [w, w + span months) from score counts per (keys, month, score).
 
-    Counts are repeated over the windows they lie in and shuffled once, by (keys, window, range): adding them
-    up, the running totals and the join of the range totals all use that partitioning. The range totals are
-    repeated over windows on their own, after they are down to one row per (keys, month, range).
+    Counts and the start rows of all windows' ranges are shuffled together, once, by (keys, range). Only then
+    are counts repeated over the windows they lie in: adding them up and the running totals per (keys, window,
+    range) keep that partitioning, so repeated rows never leave their task. The range totals behind the start
+    rows are repeated over windows on their own, after they are down to one row per (keys, month, range).
     """
-    sums = ["npos", "nneg"]
     by = [*keys, "window"]
-    add = [F.sum(c).alias(c) for c in sums]
+    add = [F.sum(c).alias(c) for c in SUMS]
     cells = with_bucket(monthly, "score", cuts)
     per_range = cells.groupBy(*keys, month, BUCKET).agg(*add)
     totals = window_starts(per_range, span, start, end, month).groupBy(*by, BUCKET).agg(*add)
-    repeated = window_starts(cells, span, start, end, month).repartition(*by, BUCKET)
-    return ranking_from_cells(repeated.groupBy(*by, BUCKET, "score").agg(*add), by, totals)
+    starts = range_starts(totals, by, SUMS, descending=True).withColumnRenamed("window", month)
+    stacked = stack_with_starts(cells.select(*keys, month, BUCKET, "score", *SUMS), starts, "score", SUMS)
+    placed = stacked.repartition(*keys, BUCKET)
+    # A start row already is at its window; a count is in the windows of the last ``span`` months.
+    repeated = window_starts(placed, F.when(F.col("kind_") == 1, span).otherwise(1), start, end, month)
+    merged = repeated.groupBy(*by, BUCKET, "kind_", "score").agg(*add, *[F.max(f"all_{c}").alias(f"all_{c}") for c in SUMS])
+    return ranking_of_points(as_points(cumulate(merged, by, "score", SUMS, descending=True), by), by)

@@ -121,13 +121,15 @@ def fold_ranges(blocks: DataFrame, n_splits: int = 5, day: str = "ym") -> DataFr
     )
 
 
-def window_starts(df: DataFrame, span: int, start: date, end: date, month: str = "ym", name: str = "window") -> DataFrame:
+def window_starts(df: DataFrame, span: int | Column, start: date, end: date, month: str = "ym", name: str = "window") -> DataFrame:
     """Repeats each row for every window [w, w + span months) it lies in, w a month start in [start, end].
 
+    ``span`` may be a column, for frames whose rows reach differently far.
+
     The range condition is written as ``span`` month offsets per row, so what follows is a plain group-by
     or hash join on the window; no nested loop. Feed it counts rather than rows where possible.
     """
-    offsets = F.sequence(F.lit(0), F.lit(span - 1))
+    offsets = F.sequence(F.lit(0), (span if isinstance(span, Column) else F.lit(span)) - 1)
     repeated = df.withColumn("off_", F.explode(offsets))
     repeated = repeated.withColumn(name, F.expr(f"add_months({month}, -off_)")).drop("off_")
     return repeated.where(F.col(name).between(F.lit(start), F.lit(end)))
