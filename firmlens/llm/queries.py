@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import mixing, shards, urls
+from firmlens.llm import mixing, packing, planes, shards, tokens, urls
+from firmlens.session import scratch_path
 
 RULES = [
     urls.Rule("net", "/", "block"), urls.Rule("example.net", "/en/", "allow"),
     urls.Rule("example.com", "/de/", "block"), urls.Rule("org", "/fr/", "allow"),
 ]
+TEXT_TOKENIZER = "byte_bpe_50k.json"
 LISTED_HOSTS = r"(^|\.)ads[.-]"  # the listed urls are those of pages on hosts with such a label
 
 
@@ -25,6 +27,13 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(pages, RULES, listed).select("page_id", "host", "path", "rule", "verdict", "is_listed")
 
 
+def op2_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, each closed by id 2, packed into sequences of 1024 ids."""
+    pieces = tokens.token_pieces(_table(spark, folder, "documents"), tokens.public_path(TEXT_TOKENIZER), 1024, 2)
+    items = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(items, 1024)
+
+
 def op3_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in eight contiguous shards of nearly equal bytes."""
     return shards.byte_shards(_table(spark, folder, "documents"), 8)
@@ -36,6 +45,12 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_id_planes(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of all documents written as bit planes and read back from the files."""
+    files = planes.write_ids(_table(spark, folder, "documents"), scratch_path(spark, "ids"), tokens.public_path(TEXT_TOKENIZER), 0)
+    return planes.read_ids(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 _CANONICAL_SQL = r"""
   CASE WHEN contains(url, '://') THEN
     regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') ||
@@ -97,7 +112,9 @@ SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(siz
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_packed": op2_packed,
     "op3_byte_shards": op3_byte_shards,
     "op4_source_mix": op4_source_mix,
+    "op8_id_planes": op8_id_planes,
 }
 SQL_TEXTS = {"op1_url_filter": OP1_SQL, "op4_source_mix": OP4_SQL}
