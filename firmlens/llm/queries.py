@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import mixing, packing, planes, shards, tokens, urls
+from firmlens.llm import mixing, packing, planes, shards, tokens, transducers, urls
 from firmlens.session import scratch_path
 
 RULES = [
@@ -13,6 +13,7 @@ RULES = [
     urls.Rule("example.com", "/de/", "block"), urls.Rule("org", "/fr/", "allow"),
 ]
 TEXT_TOKENIZER = "byte_bpe_50k.json"
+COUNT_TOKENIZER = "word_bpe_49k.json"
 LISTED_HOSTS = r"(^|\.)ads[.-]"  # the listed urls are those of pages on hosts with such a label
 
 
@@ -45,6 +46,11 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every whole text, against a limit of 2048."""
+    return transducers.count_tokens(_table(spark, folder, "documents"), tokens.public_path(COUNT_TOKENIZER), 2048)
+
+
 def op8_id_planes(spark: SparkSession, folder: str) -> DataFrame:
     """The ids of all documents written as bit planes and read back from the files."""
     files = planes.write_ids(_table(spark, folder, "documents"), scratch_path(spark, "ids"), tokens.public_path(TEXT_TOKENIZER), 0)
@@ -115,6 +121,7 @@ QUERIES = {
     "op2_packed": op2_packed,
     "op3_byte_shards": op3_byte_shards,
     "op4_source_mix": op4_source_mix,
+    "op7_token_counts": op7_token_counts,
     "op8_id_planes": op8_id_planes,
 }
 SQL_TEXTS = {"op1_url_filter": OP1_SQL, "op4_source_mix": OP4_SQL}
