@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import mixing, packing, planes, shards, tokens, transducers, urls
+from firmlens.llm import mixing, packing, planes, shards, tokens, toxicity, transducers, urls
 from firmlens.session import scratch_path
 
 RULES = [
@@ -57,6 +57,13 @@ def op8_id_planes(spark: SparkSession, folder: str) -> DataFrame:
     return planes.read_ids(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document scored by compression distance; labels come from three quarters of the ids."""
+    docs = _table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
+    return scored.select("doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 _CANONICAL_SQL = r"""
   CASE WHEN contains(url, '://') THEN
     regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') ||
@@ -123,5 +130,6 @@ QUERIES = {
     "op4_source_mix": op4_source_mix,
     "op7_token_counts": op7_token_counts,
     "op8_id_planes": op8_id_planes,
+    "op9_toxicity": op9_toxicity,
 }
 SQL_TEXTS = {"op1_url_filter": OP1_SQL, "op4_source_mix": OP4_SQL}
