@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import mixing, packing, planes, shards, tokens, toxicity, transducers, urls
+from firmlens.llm import fingerprints, mixing, packing, planes, shards, tokens, toxicity, transducers, urls
 from firmlens.session import scratch_path
 
 RULES = [
@@ -46,6 +46,11 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every whole text and its edited text, with their likeness and that to the next document."""
+    return fingerprints.fingerprints(_table(spark, folder, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every whole text, against a limit of 2048."""
     return transducers.count_tokens(_table(spark, folder, "documents"), tokens.public_path(COUNT_TOKENIZER), 2048)
@@ -128,6 +133,7 @@ QUERIES = {
     "op2_packed": op2_packed,
     "op3_byte_shards": op3_byte_shards,
     "op4_source_mix": op4_source_mix,
+    "op5_fingerprints": op5_fingerprints,
     "op7_token_counts": op7_token_counts,
     "op8_id_planes": op8_id_planes,
     "op9_toxicity": op9_toxicity,
