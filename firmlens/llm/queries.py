@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import fingerprints, mixing, packing, planes, shards, tokens, toxicity, transducers, urls
+from firmlens.llm import fingerprints, mixing, neighbours, packing, planes, shards, tokens, toxicity, transducers, urls
 from firmlens.session import scratch_path
 
 RULES = [
@@ -51,6 +51,11 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, folder, "documents"))
 
 
+def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every row whose id is divisible by 20."""
+    return neighbours.search(_table(spark, folder, "embeddings"), 20, 20)
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every whole text, against a limit of 2048."""
     return transducers.count_tokens(_table(spark, folder, "documents"), tokens.public_path(COUNT_TOKENIZER), 2048)
@@ -134,6 +139,7 @@ QUERIES = {
     "op3_byte_shards": op3_byte_shards,
     "op4_source_mix": op4_source_mix,
     "op5_fingerprints": op5_fingerprints,
+    "op6_neighbours": op6_neighbours,
     "op7_token_counts": op7_token_counts,
     "op8_id_planes": op8_id_planes,
     "op9_toxicity": op9_toxicity,
