@@ -92,7 +92,7 @@ class PieceEncoder:
         except KeyError:
             if len(memo) > MEMO:
                 memo.clear()
-            memo.update((p, self._piece(p)) for p in {*pieces} - memo.keys())
+            memo.update([(p, self._piece(p)) for p in {*pieces} if p not in memo])
             return b"".join(map(memo.__getitem__, pieces))
 
     def encode(self, texts: list[str]) -> list[bytes]:
