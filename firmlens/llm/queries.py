@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import fingerprints, mixing, neighbours, packing, planes, shards, tokens, toxicity, transducers, urls
+from firmlens.llm import fingerprints, jaccard, mixing, neighbours, packing, planes, shards, tokens, toxicity, transducers, urls
 from firmlens.session import scratch_path
 
 RULES = [
@@ -74,6 +74,11 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles are similar to 0.9 at least."""
+    return jaccard.similar_groups(_table(spark, folder, "documents"), 3, 90)
+
+
 _CANONICAL_SQL = r"""
   CASE WHEN contains(url, '://') THEN
     regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') ||
@@ -143,5 +148,6 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_id_planes": op8_id_planes,
     "op9_toxicity": op9_toxicity,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 SQL_TEXTS = {"op1_url_filter": OP1_SQL, "op4_source_mix": OP4_SQL}
