@@ -150,13 +150,17 @@ metrics AS (SELECT 1 AS metrics_type_id, model_id, n1 / n AS value FROM per_mode
 @query("src_dimension_tables", "table_name id:i name", """
 SELECT 'econ' AS table_name, n_nationkey AS id, n_name AS name FROM nation
 UNION ALL SELECT 'company', c_custkey, c_name FROM customer
-UNION ALL SELECT 'metrics_type', 1, 'default_rate' UNION ALL SELECT 'metrics_type', 2, 'n_rows'
-UNION ALL SELECT 'metric', 1, 'auc' UNION ALL SELECT 'metric', 2, 'ar'
-UNION ALL SELECT 'model_type', 1, 'boosted' UNION ALL SELECT 'model_type', 2, 'linear'
-UNION ALL SELECT 'target', 1, 'pd_poe_1' UNION ALL SELECT 'target', 2, 'pd_poe_12'""")
+UNION ALL SELECT 'metrics_type', row_number() OVER (ORDER BY name), name FROM (SELECT DISTINCT event_type AS name FROM events)
+UNION ALL SELECT 'metric', row_number() OVER (ORDER BY name), name FROM (SELECT DISTINCT o_orderpriority AS name FROM orders)
+UNION ALL SELECT 'model_type', row_number() OVER (ORDER BY name), name FROM (SELECT DISTINCT c_mktsegment AS name FROM customer)
+UNION ALL SELECT 'target', row_number() OVER (ORDER BY name), name FROM (SELECT DISTINCT o_orderstatus AS name FROM orders)""")
 def src_dimension_tables(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_path(spark, "star")
     star = metadata_star(spark, folder)
+    # Code lists of the tables stand in for the lists of metrics, models and targets.
+    lists = {"metrics_type": ("events", "event_type"), "metric": ("orders", "o_orderpriority"), "model_type": ("customer", "c_mktsegment"), "target": ("orders", "o_orderstatus")}
+    for name, (source, column) in lists.items():
+        star[name] = sinks.with_new_names(roles.table(spark, folder, source), None, f"{name}_id", column)
     out = None
     for name in ("econ", "metric", "company", "metrics_type", "model_type", "target"):
         star[name].write.parquet(f"{root}/{name}")
@@ -228,8 +232,9 @@ SELECT comp_id, yyyymmdd, pd_1, CASE WHEN yyyymmdd < DATE '2024-01-16' THEN 1 EL
 def sink_insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "insert_ignore")
     rows = roles.model_predictions(spark, folder).select("comp_id", "yyyymmdd", "pd_1")
-    sinks.insert_ignore(stamped(rows.where(F.col("yyyymmdd") < CUT_DAY), load=1), path, ["comp_id", "yyyymmdd"], ["yyyymmdd"])
-    sinks.insert_ignore(stamped(rows, load=2), path, ["comp_id", "yyyymmdd"], ["yyyymmdd"])
+    order = [F.col("pd_1").asc()]
+    sinks.insert_ignore(stamped(rows.where(F.col("yyyymmdd") < CUT_DAY), load=1), path, ["comp_id", "yyyymmdd"], order, ["yyyymmdd"])
+    sinks.insert_ignore(stamped(rows, load=2), path, ["comp_id", "yyyymmdd"], order, ["yyyymmdd"])
     return spark.read.parquet(path)
 
 
@@ -263,9 +268,9 @@ def sink_upsert_metric(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "upsert_metric")
     metrics = metadata_star(spark, folder)["metrics"]
     keys, order = ["metrics_type_id", "model_id"], [F.col("value").desc()]
-    sinks.upsert(metrics, path, keys, [], order)
+    sinks.upsert(metrics, path, keys, [], order, hash_parts=16)
     revised = metrics.where("metrics_type_id = 2").withColumn("value", F.col("value") + 0.5)
-    sinks.upsert(revised, path, keys, [], order)
+    sinks.upsert(revised, path, keys, [], order, hash_parts=16)
     return spark.read.parquet(path)
 
 
@@ -278,8 +283,9 @@ UNION ALL SELECT (SELECT max(id) FROM first) + row_number() OVER (ORDER BY name)
 def sink_get_or_create_dim(spark: SparkSession, folder: str) -> DataFrame:
     kinds = roles.table(spark, folder, "events").select(F.col("event_type").alias("name"))
     more = roles.table(spark, folder, "orders").select(F.col("o_orderpriority").alias("name"))
-    dimension = sinks.with_new_names(kinds, None, "id", "name")
-    return sinks.with_new_names(more.union(kinds), dimension, "id", "name")
+    path = scratch_path(spark, "dimension")
+    sinks.get_or_create(kinds, path, "id", "name")
+    return sinks.get_or_create(more.union(kinds), path, "id", "name")
 
 
 @query("sink_skip_if_loaded", "comp_id:i yyyymmdd:d task_date:d econ:i pd_1:r load:i", f"""WITH {roles.PREDICTIONS_SQL}

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from firmlens.catalog.registry import query
 from firmlens.functions import columns as c
-from firmlens.functions.constants import UNUSABLE_LABEL
+from firmlens.functions.constants import COVARIATES, UNUSABLE_LABEL
 from firmlens.operators import aggregates, attribution, joins, labels, prep
+from firmlens.plans import learn
 from firmlens.sources import roles
 
 P = f"WITH {roles.PANEL_SQL} "
@@ -80,14 +81,10 @@ def prep_date_format(spark: SparkSession, folder: str) -> DataFrame:
     return roles.stat_predictions(spark, folder).select("comp_id", F.date_format("yyyymmdd", "yyyy-MM-dd").alias("day_text"))
 
 
-_FEATURES = ["StkIndx", "STInt", "liqnonfinlevel", "liqnonfintrend", "ni2talevel", "ni2tatrend", "sizelevel", "sizetrend",
-             "m2b", "sigma", "liqfinlevel", "lqfintrend", "DTDmedianFin", "DTDmedianNonFin", "dummySOE"]
-
-
-@query("prep_feature_select", "firm:i ym:d " + " ".join(f"{f}:r" for f in _FEATURES),
-       P + f"SELECT firm, ym, {', '.join(_FEATURES)} FROM panel")
+@query("prep_feature_select", "firm:i ym:d " + " ".join(f"{f}:r" for f in COVARIATES),
+       P + f", {roles.LINES_SQL} SELECT firm, ym, {', '.join(COVARIATES)} FROM panel LEFT JOIN lines USING (firm, ym)")
 def prep_feature_select(spark: SparkSession, folder: str) -> DataFrame:
-    df = roles.panel(spark, folder)
+    df = roles.panel(spark, folder, lines=True)
     return df.select("firm", "ym", *prep.feature_columns(df, [], fixed=True))
 
 
@@ -121,6 +118,8 @@ SELECT comp_id, yyyymmdd, CASE WHEN event_type IS NULL THEN 'NaN' WHEN event_typ
 FROM (SELECT comp_id, yyyymmdd, CASE WHEN comp_id % 7 = 0 THEN event_type + 2 ELSE event_type END AS event_type FROM truth)""")
 def proj_event_description(spark: SparkSession, folder: str) -> DataFrame:
     code = F.when(F.col("comp_id") % 7 == 0, F.col("event_type") + 2).otherwise(F.col("event_type"))
+    # Missing codes come as NULL and, for every other firm, as the text that other operators write for them.
+    code = F.when(code.isNull() & (F.col("comp_id") % 2 == 0), "NaN").otherwise(code.cast("string"))
     return roles.ground_truth(spark, folder).select("comp_id", "yyyymmdd", c.event_description(code).alias("event_description"))
 
 
@@ -420,6 +419,6 @@ SELECT econ, arg_min(date, pr_auc + CAST(year(date) * 12 + month(date) AS DOUBLE
 FROM backtest GROUP BY econ""")
 def pick_best_params(spark: SparkSession, folder: str) -> DataFrame:
     late = (F.year("date") * 12 + F.month("date")).cast("double") / 1e6
-    return backtest_rows(spark, folder).groupBy("econ").agg(
-        F.min_by("date", F.col("pr_auc") + late).alias("best_by_loss"), F.max_by("date", F.col("auc_score") + late).alias("best_by_auc")
-    )
+    rows = backtest_rows(spark, folder).select("econ", F.col("date").alias("settings"), (F.col("pr_auc") + late).alias("loss"), (F.col("auc_score") + late).alias("gain"))
+    least = learn.best_settings(rows, loss="loss", keys=["econ"]).withColumnRenamed("settings", "best_by_loss")
+    return least.join(learn.best_settings(rows, gain="gain", keys=["econ"]).withColumnRenamed("settings", "best_by_auc"), "econ")

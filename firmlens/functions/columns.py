@@ -63,12 +63,13 @@ def subtract_one_month_text(date: Column | str) -> Column:
 
 
 def event_description(code: Column | str) -> Column:
-    """Text of an event code; missing and unlisted codes have their own texts."""
+    """Text of an event code, given as a number or as text; missing (NULL, NaN) and unlisted codes have their own texts."""
     code = F.col(code) if isinstance(code, str) else code
-    whole = code.cast("int")
-    text = F.when(code.isNull(), EVENT_TEXT_MISSING)
+    written = code.cast("string")
+    number = written.try_cast("double")
+    text = F.when(written.isNull() | (written == EVENT_TEXT_MISSING), EVENT_TEXT_MISSING)
     for value, name in EVENT_TEXT.items():
-        text = text.when(whole == value, name)
+        text = text.when(number == value, name)
     return text.otherwise(EVENT_TEXT_OTHER)
 
 

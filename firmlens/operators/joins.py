@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlens.functions.columns import padded_date_text
+from firmlens.functions.columns import date_from_ints, padded_date_text
 from firmlens.functions.constants import SPINE_LAST_YEAR
 from firmlens.operators.labels import fill_along
 from firmlens.operators.prep import with_forecast_date
+from firmlens.session import stored
 
 PREDICTION_KEYS = ["comp_id", "yyyymmdd", "task_date"]
 
@@ -20,16 +21,16 @@ PREDICTION_KEYS = ["comp_id", "yyyymmdd", "task_date"]
 def result_table(stats: DataFrame, model: DataFrame, truth: DataFrame) -> DataFrame:
     """Statistical predictions with the model's predictions and the outcome of the same firm, day and load.
 
-    The text date is built for output only; the joins use the DATE that the parts give, projected once.
+    The joins use the DATE of the padded text, so two-digit years meet their century; a day that does not exist
+    keeps its row and its text and meets nothing.
     """
     left = stats.select(
         "comp_id",
-        F.make_date("yy", "mm", "dd").alias("yyyymmdd"),
         padded_date_text("yy", "mm", "dd").alias("yyyy_mm_dd"),
         F.col("pd_1").alias("stats_pd_1"),
         F.col("poe_1").alias("stats_poe_1"),
         "task_date",
-    )
+    ).withColumn("yyyymmdd", date_from_ints("yyyy_mm_dd", "yyyy-MM-dd"))
     ml = model.select(*PREDICTION_KEYS, F.col("pd_1").alias("ml_pd_1"), F.col("poe_1").alias("ml_poe_1"))
     events = truth.select(*PREDICTION_KEYS, "event_type")
     return (
@@ -95,10 +96,11 @@ def calendar_spine(
     """Every firm in every year from the first year of the data to ``last_year``.
 
     Texts are carried forwards and then backwards within the firm; numbers of added years stay NULL. The
-    spine is one generated array per firm, so it costs one shuffle by firm.
+    spine is one generated array per firm, so it costs one shuffle by firm. The columns in use are stored once.
     """
+    df = stored(df.select(firm, F.col(year).cast("int").alias(year), *text_columns, *number_columns), "spine")
     first = df.agg(F.min(year).cast("int").alias("y"))
     firms = df.select(firm).distinct()
     spine = firms.select(firm, F.explode(F.sequence(first.scalar(), F.lit(last_year))).alias(year))
-    joined = spine.join(df.select(firm, F.col(year).cast("int").alias(year), *text_columns, *number_columns), [firm, year], "left")
+    joined = spine.join(df, [firm, year], "left")
     return fill_along(joined, text_columns, [firm], [year])

@@ -141,8 +141,9 @@ def compare_to_reference(df: DataFrame, model: str, current: str, reference: str
     """Current against reference model: both AUCs and ARs, their difference and a pass flag.
 
     ``df`` holds the rows of both, told apart by column ``model``. With a reference the difference
-    (reference - current) must lie within ``tolerance`` of the reference's own AUC level; without one the
-    current difference from nothing (0) always passes.
+    (reference - current) must lie within ``tolerance`` of the reference's own AUC level, and is NULL, as is
+    ``passed``, where the reference (or the current model) has no rows of one class; only without a reference asked
+    for does a model always pass.
     """
     auc = roc_auc(df.select(*keys, model, (F.col(label) == DEFAULT).cast("int").alias("pos"), F.col(score).alias("score")),
                   [*keys, model], "pos", "score", cuts)
@@ -156,7 +157,7 @@ def compare_to_reference(df: DataFrame, model: str, current: str, reference: str
         "ar_current": 2 * F.col("auc_current") - 1,
         "ar_reference": 2 * F.col("auc_reference") - 1,
         "auc_difference": gap,
-        "passed": F.coalesce(F.abs(gap) <= tolerance * F.abs(F.col("auc_reference")), F.lit(True)),
+        "passed": F.lit(True) if reference is None else F.abs(gap) <= tolerance * F.abs(F.col("auc_reference")),
     })
 
 

@@ -52,9 +52,14 @@ def drop_missing(df: DataFrame, subset: list[str]) -> DataFrame:
 
 
 def feature_columns(df: DataFrame, not_features: list[str], fixed: bool = False) -> list[str]:
-    """Feature names: the fixed covariate list, or every column that is not a key, date or target."""
+    """Feature names: the fixed covariate list, or every column that is not a key, date or target.
+
+    With the fixed list all of it must be there: a model is never fitted on fewer inputs without notice.
+    """
     if fixed:
-        return [c for c in COVARIATES if c in df.columns]
+        if missing := [c for c in COVARIATES if c not in df.columns]:
+            raise ValueError(f"covariates are missing: {missing}")
+        return list(COVARIATES)
     return [c for c in df.columns if c not in not_features]
 
 

@@ -9,6 +9,8 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from firmlens.session import stored
+
 from firmlens.operators.ranges import BUCKET, quantile_cuts, with_bucket
 
 
@@ -153,7 +155,8 @@ def window_class_counts(
     df: DataFrame, keys: list[str], span: int, start: date, end: date, label: str = "Y", month: str = "ym",
 ) -> DataFrame:
     """Per window: train and test sizes and class counts; the panel is aggregated once to (keys, month)."""
-    monthly = df.groupBy(*keys, month).agg(*class_count_columns(label))
+    # A few rows per group, which several branches read.
+    monthly = stored(df.groupBy(*keys, month).agg(*class_count_columns(label)), "monthly")
     return window_counts_from_monthly(monthly, keys, span, start, end, month)
 
 

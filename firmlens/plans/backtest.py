@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from datetime import date
 
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ from firmlens.operators.splits import (
     window_counts_from_monthly,
     with_window_status,
 )
-from firmlens.plans.learn import Learner, fit, in_parallel, score, with_predictions
+from firmlens.plans.learn import PARALLEL_FITS, Learner, fit, in_parallel, learner_from, score, with_predictions
 from firmlens.session import scratch_path, stored
 from firmlens.sources.sinks import groups_to_run, insert_ignore, read_if_exists
 
@@ -48,9 +51,10 @@ def relational_backtest(df: DataFrame, keys: list[str], start: date, end: date,
 
     The rows are read once, into class counts per (keys, month, score). Window sizes, guards and the ranking
     measures (default against none, exits left out) are all taken from that table, which is stored because
-    three branches read it and its score distribution gives the cut points.
+    three branches read it and its score distribution gives the cut points. Rows without a score (NULL or NaN)
+    take no part at all: they leave the sizes too.
     """
-    cells = df.where(F.col(score).isNotNull()).groupBy(*keys, month, F.col(score).alias("score")).agg(*class_count_columns(label))
+    cells = df.where(F.col(score).isNotNull() & ~F.isnan(score)).groupBy(*keys, month, F.col(score).alias("score")).agg(*class_count_columns(label))
     if cuts is None:
         cells = stored(cells, "backtest_counts")
         cuts = quantile_cuts(cells, "score")
@@ -61,55 +65,76 @@ def relational_backtest(df: DataFrame, keys: list[str], start: date, end: date,
     return backtest_table(window_counts_from_monthly(monthly, keys, span, start, end, month), ranking, keys)
 
 
+def refit_units(units: list[tuple], refit_every: int) -> dict[tuple, list[date]]:
+    """(key values and fit month) -> the windows that this fit scores: its own and those before the next fit."""
+    out: dict[tuple, list[date]] = {}
+    for *keys, window in sorted(units):
+        last = next(reversed(out), None)
+        months = (window.year - last[-1].year) * 12 + window.month - last[-1].month if last and last[:-1] == tuple(keys) else refit_every
+        if months >= refit_every:
+            last = (*keys, window)
+            out[last] = []
+        out[last].append(window)
+    return out
+
+
 def fitted_predictions(
     table: DataFrame, features: list[str], units: list[tuple], span: int, learner: Learner, keys: list[str] = (),
-    label: str = "Y", month: str = "ym", path: str | None = None,
+    label: str = "Y", month: str = "ym", path: str | None = None, refit_every: int = 1, workers: int = PARALLEL_FITS,
 ) -> tuple[DataFrame | None, list[tuple]]:
-    """Fits every unit (key values and window start) on the months before its start and scores its window.
-
-    Returns (stored predictions, [(unit, model)]). ``table`` comes from ``training_table`` (one folder per
-    month), so a unit reads its own months only. Each unit's predictions are written to their own folder: a
-    restart with the same ``path`` fits only the units that are missing. Fits of all units go through one
-    small pool of job submissions. Units to skip must have been left out by the guards.
+    """Scores every unit (key values and window start) with a model fitted on the months before its start.
+
+    Returns (stored predictions, [(key values and fit month, model)]). With ``refit_every`` above 1 a model also scores
+    the windows that start less than that many months after its own, so every window is scored by a model that has seen
+    nothing of it. ``table`` comes from ``training_table`` (one folder per month), so a unit reads its own
+    months only. Predictions and model of a fit are written to folders of their own: a restart with the same ``path`` fits
+    what is missing and loads the other models, so it returns all of them. Fits go through one small pool of job
+    submissions. Units to skip must have been left out by the guards.
     """
     spark = table.sparkSession
     path = path or scratch_path(spark, "predictions")
-    names = [*keys, "window"]
+    names = [*keys, "fit"]
     stored = read_if_exists(spark, path)
     done = set() if stored is None else {tuple(str(v) for v in r) for r in stored.select(*names).distinct().collect()}
 
-    def run(unit: tuple):
-        start = unit[-1]
+    def run(unit: tuple, windows: list[date]):
+        place = "/".join(f"{name}={value}" for name, value in zip(names, unit))
+        if tuple(map(str, unit)) in done:
+            return unit, PipelineModel.load(f"{path}_models/{place}")
         rows = table
         for key, value in zip(keys, unit):
             rows = rows.where(F.col(key) == value)
-        train = rows.where(F.col(month) < F.lit(start))
-        test = rows.where((F.col(month) >= F.lit(start)) & (F.col(month) < F.add_months(F.lit(start), span)))
-        model = fit(train, features, learner, label)
-        folder = "/".join([path, *[f"{name}={value}" for name, value in zip(names, unit)]])
-        with_predictions(score(model, test), label).select(month, "y", "p1", "yhat").write.mode("overwrite").parquet(folder)
+        at = F.col(month)
+        inside = lambda w: (at >= w) & (at < F.add_months(w, span))
+        test = rows.where((at >= F.lit(windows[0])) & (at < F.add_months(F.lit(windows[-1]), span)))
+        test = test.withColumn("window", F.explode(F.filter(F.array(*map(F.lit, windows)), inside)))
+        model = fit(rows.where(at < F.lit(unit[-1])), features, learner, label)
+        model.write().overwrite().save(f"{path}_models/{place}")
+        with_predictions(score(model, test), label).select("window", month, "y", "p1", "yhat").write.mode("overwrite").parquet(f"{path}/{place}")
         return unit, model
 
-    models = in_parallel(spark, [lambda u=u: run(u) for u in units if tuple(map(str, u)) not in done])
+    fits = refit_units(units, refit_every)
+    models = in_parallel(spark, [lambda u=u, w=w: run(u, w) for u, w in fits.items()], workers)
     return read_if_exists(spark, path), models
 
 
 def fitted_backtest(
     table: DataFrame, features: list[str], start: date, end: date, span: int, learner: Learner, keys: list[str] = (),
-    label: str = "Y", month: str = "ym", step_months: int = 1, path: str | None = None,
+    label: str = "Y", month: str = "ym", step_months: int = 1, path: str | None = None, refit_every: int = 1,
+    workers: int = PARALLEL_FITS,
 ) -> tuple[DataFrame, list[tuple]]:
-    """Backtest table of a model refitted at every ``step_months``-th window start (per group of ``keys``).
+    """Backtest table of every ``step_months``-th window start, the model refitted every ``refit_every`` months (per group of ``keys``).
 
     The guards of all windows and groups are decided before any fit, by one aggregation over (keys, month,
     class); the measures of all windows and groups come from one job over the stored predictions.
     """
     keys = list(keys)
     on_step = F.months_between(F.col("window"), F.lit(start)).cast("int") % step_months == 0
-    sizes = window_class_counts(table, keys, span, start, end, label, month).where(on_step)
+    sizes = stored(window_class_counts(table, keys, span, start, end, label, month).where(on_step), "sizes")
     # One row per group and window: metadata that decides which fits are submitted.
     status = with_window_status(sizes).where("status = 'scored'").select(*keys, "window")
     units = sorted(tuple(r) for r in status.collect())
-    predictions, models = fitted_predictions(table, features, units, span, learner, keys, label, month, path)
+    predictions, models = fitted_predictions(table, features, units, span, learner, keys, label, month, path, refit_every, workers)
     if predictions is None:
         none = F.lit(None).cast("double")
         ranking = sizes.select(*keys, "window", none.alias("auc"), none.alias("pr_auc")).limit(0)
@@ -120,18 +145,28 @@ def fitted_backtest(
 
 def backtest_economies(
     table: DataFrame, features: list[str], start: date, end: date, span: int, learner: Learner, results: str, stamp: date,
-    label: str = "Y", month: str = "ym", step_months: int = 1, horizon: int = 12,
+    label: str = "Y", month: str = "ym", step_months: int = 1, horizon: int = 12, refit_every: int = 1,
+    settings: dict | None = None, workers: int = PARALLEL_FITS,
 ) -> DataFrame:
     """Backtest of every economy that has no stored result for this horizon; rows are stored, then returned.
 
-    Stored rows are keyed by (econ, horizon, date), so a restarted run adds what is missing.
+    Economies run a few at a time and are stored one by one as they finish, keyed by (econ, horizon, date); predictions
+    and models lie beside the results, so a restarted run goes on where it stopped, within an economy too. ``settings``
+    gives an economy's own tuned settings (text, as a search stores them).
     """
     spark = table.sparkSession
     economies = table.select("econ").distinct()
-    todo = [r["econ"] for r in groups_to_run(economies, read_if_exists(spark, results), "econ", horizon).collect()]
-    rows, _ = fitted_backtest(
-        table.where(F.col("econ").isin(todo)), features, start, end, span, learner, ["econ"], label, month, step_months
-    )
-    tagged = rows.withColumns({"horizon": F.lit(horizon), "operation_date": F.lit(stamp)})
-    insert_ignore(tagged, results, ["econ", "horizon", "date"], ["econ", "horizon"])
+    todo = sorted(r["econ"] for r in groups_to_run(economies, read_if_exists(spark, results), "econ", horizon).collect())
+
+    def run(econ):
+        own = learner_from(settings[econ], learner) if settings and econ in settings else learner
+        place = f"{results}_fits/horizon={horizon}/{econ}"
+        rows, _ = fitted_backtest(
+            table.where(F.col("econ") == econ), features, start, end, span, own, ["econ"], label, month, step_months, place, refit_every, 1
+        )
+        return stored(rows.withColumns({"horizon": F.lit(horizon), "operation_date": F.lit(stamp)}), "economy")
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for done in as_completed([pool.submit(inheritable_thread_target(spark)(lambda e=e: run(e))) for e in todo]):
+            insert_ignore(done.result(), results, ["econ", "horizon", "date"], [F.col("operation_date").asc()], ["econ", "horizon"])
     return spark.read.parquet(results)

@@ -63,4 +63,4 @@ def stored(df: DataFrame, label: str = "stored") -> DataFrame:
 
 def parallel_parts(spark: SparkSession) -> int:
     """How many value ranges a large ordered group is cut into: a few per shuffle partition, for even tasks."""
-    return max(2, min(4096, 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+    return max(2, 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

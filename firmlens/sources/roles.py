@@ -124,6 +124,15 @@ panel AS (
     CAST(f.econ % 2 AS DOUBLE) AS dummySOE, b.n_orders, b.cents, b.max_cents, b.min_cents, b.Y
   FROM base b JOIN firms f ON b.firm = f.firm)"""
 
+# The two covariates that need the line items, to be joined by firm and month.
+LINES_SQL = """
+per_order AS (
+  SELECT l_orderkey AS o_orderkey, count(*) AS n_lines, sum(CAST(l_quantity AS BIGINT)) AS qty,
+    sum(CAST(round(l_discount * 100) AS BIGINT)) AS disc FROM lineitem GROUP BY 1),
+lines AS (
+  SELECT o_custkey AS firm, CAST(date_trunc('month', o_orderdate) AS DATE) AS ym, sum(qty) / sum(n_lines) AS dtdlevel,
+    sum(disc) / sum(n_lines) AS dtdtrend FROM orders LEFT JOIN per_order USING (o_orderkey) GROUP BY 1, 2)"""
+
 
 def three_class_scores(df: DataFrame) -> DataFrame:
     """Adds p0, p1, p2 (a stored three-class score that sums to 1 and has ties) and the array ``p``."""

@@ -6,17 +6,18 @@ load touches its own partitions only. All of them are bulk jobs: no row ever pas
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from firmlens.functions.columns import blank_to_null
 from firmlens.session import stored
 
-STATIC_PARTITIONS = 1000
+LEDGER = "_loads"  # beside a table: which run wrote which load in which batch
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -45,34 +46,35 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("row_", F.row_number().over(w)).where("row_ = 1").drop("row_")
 
 
-def rows_to_insert(new: DataFrame, target: DataFrame | None, keys: list[str], order: list | None = None) -> DataFrame:
-    """Insert-ignore: rows whose key the target lacks, one per key."""
-    single = first_per_key(new, keys, order) if order else new.dropDuplicates(keys)
+def rows_to_insert(new: DataFrame, target: DataFrame | None, keys: list[str], order: list) -> DataFrame:
+    """Insert-ignore: rows whose key the target lacks, of several with one key the first in ``order``."""
+    single = first_per_key(new, keys, order)
     return single if target is None else single.join(target.select(*keys), keys, "left_anti")
 
 
 def in_touched_partitions(target: DataFrame, new: DataFrame, partition_by: list[str]) -> DataFrame:
     """The target's rows in partitions that ``new`` has rows for.
 
-    The partition values of a load are few; they become a plain filter, which prunes folders at planning
-    time. A load that touches more than ``STATIC_PARTITIONS`` partitions goes through a semi join instead.
+    The partition values of a load are folder names of the table, metadata like the listing that every read of it
+    makes; they become a plain filter, which prunes folders at planning time. ``new`` is read for them alone, so pass a
+    stored frame.
     """
     if not partition_by:
         return target
-    touched = new.select(*partition_by).distinct()
-    values = touched.limit(STATIC_PARTITIONS + 1).collect()
-    if len(values) > STATIC_PARTITIONS:
-        return target.join(touched, partition_by, "left_semi")
-    hits = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in values]
-    return target.where(reduce(or_, hits, F.lit(False)))
+    return target.where(is_one_of(new.select(*partition_by).distinct().collect(), partition_by))
 
 
-def insert_ignore(
-    df: DataFrame, path: str, keys: list[str], partition_by: list[str] = (), order: list | None = None
-) -> None:
-    """Append the rows whose key is not stored yet."""
+def is_one_of(values: list, columns: list[str]) -> Column:
+    """Whether the columns hold one of these rows; NULL equals NULL."""
+    hits = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in columns]) for row in values]
+    return reduce(or_, hits, F.lit(False))
+
+
+def insert_ignore(df: DataFrame, path: str, keys: list[str], order: list, partition_by: list[str] = ()) -> None:
+    """Append the rows whose key is not stored yet; the input is evaluated once."""
     target = read_if_exists(df.sparkSession, path)
     if target is not None and set(partition_by) <= set(keys):
+        df = stored(df, "insert")
         target = in_touched_partitions(target, df, list(partition_by))
     append(rows_to_insert(df, target, keys, order), path, partition_by)
 
@@ -95,15 +97,17 @@ def upserted(new: DataFrame, target: DataFrame | None, keys: list[str], order: l
 
 
 def upsert(
-    df: DataFrame, path: str, keys: list[str], partition_by: list[str], order: list, hash_parts: int = 8
+    df: DataFrame, path: str, keys: list[str], partition_by: list[str], order: list, hash_parts: int | None = None,
+    newest: list[str] | None = None,
 ) -> None:
     """Upsert by key; only partitions that receive rows are rewritten.
 
     The partition columns must be part of the key (a row never moves between partitions), so reading the
     touched partitions is enough. A table without partition columns is laid out by a hash of its key
-    (column ``part_``, ``hash_parts`` fixed per table). The merged rows are first written to the shared
-    scratch folder: the overwrite then reads nothing from the table it replaces, replaces partitions only
-    when all of its tasks are done, and can simply be run again.
+    (column ``part_``) in ``hash_parts`` folders: a number to choose once per table, by the size it is to reach, as a load
+    rewrites the folders that its keys fall into. With ``newest``, stored rows compete in ``order`` with new ones. The input is evaluated once. The merged rows are first
+    written to the shared scratch folder: the overwrite then reads nothing from the table it replaces, replaces
+    partitions only when all of its tasks are done, and can simply be run again.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the key")
@@ -111,6 +115,8 @@ def upsert(
     layout = list(partition_by)
     df = blank_to_null(df)
     if not layout:
+        if not hash_parts:
+            raise ValueError("a table without partition columns needs hash_parts")
         layout = ["part_"]
         df = df.withColumn("part_", F.pmod(F.xxhash64(*keys), F.lit(hash_parts)).cast("int"))
         keys = [*keys, "part_"]
@@ -118,25 +124,62 @@ def upsert(
     if target is None:
         first_per_key(df, keys, order).write.partitionBy(*layout).parquet(path)
         return
-    merged = stored(upserted(df, in_touched_partitions(target, df, layout), keys, order), "upsert")
+    df = stored(df, "upsert-input")
+    target = in_touched_partitions(target, df, layout)
+    if newest:  # a stored row that is later than a new one keeps its place
+        df = first_per_key(df.unionByName(target.select(*df.columns)), keys, order)
+    merged = stored(upserted(df, target, keys, order), "upsert")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(path)
 
 
 def rows_not_loaded(new: DataFrame, target: DataFrame | None, guard: list[str]) -> DataFrame:
-    """Rows of loads (identified by the guard columns) the target holds no row of."""
+    """Rows of loads (identified by the guard columns) the target holds no row of.
+
+    The loads of ``new`` that are there already are a handful of values, so they become a filter: rows of a load, one
+    key, are not joined. ``new`` is read twice; pass a stored frame.
+    """
     if target is None:
         return new
-    return new.join(target.select(*guard).distinct(), guard, "left_anti")
+    wanted = new.select(*guard).distinct()
+    there = target.where(is_one_of(wanted.collect(), guard)).select(*guard).distinct().collect()
+    return new.where(~is_one_of(there, guard))
 
 
 def append_if_not_loaded(df: DataFrame, path: str, guard: list[str], partition_by: list[str]) -> None:
-    """Append whole loads once; a repeated load adds nothing."""
+    """Append whole loads once; a repeated load adds nothing. A load must come in one piece; ``append_load`` takes parts."""
     target = read_if_exists(df.sparkSession, path)
-    if target is not None and set(partition_by) <= set(guard):
-        target = in_touched_partitions(target, df, partition_by)
+    if target is not None:
+        df = stored(df, "load")
+        if set(partition_by) <= set(guard):
+            target = in_touched_partitions(target, df, partition_by)
     append(rows_not_loaded(df, target, guard), path, partition_by)
 
 
+def append_load(df: DataFrame, path: str, guard: list[str], partition_by: list[str], run: str, batch: int) -> None:
+    """Append one batch of a run, whose loads may be spread over its batches and arrive late.
+
+    A ledger beside the table holds a row per load, run and batch. Rows of loads that another run wrote are skipped; those of
+    this run are appended, each batch in folders of its own (``run_``, ``batch_``), which a replay of the batch replaces. Rows come
+    first and the ledger second, so a batch that broke off is simply replayed.
+    """
+    spark = df.sparkSession
+    mark = {"run_": F.lit(hashlib.md5(run.encode()).hexdigest()), "batch_": F.lit(batch)}
+    df = stored(blank_to_null(df), "batch")
+    loads = df.select(*guard).distinct()
+    ledger = read_if_exists(spark, path + LEDGER)
+    if ledger is not None:
+        others = ledger.where((F.col("run_") != mark["run_"]) & is_one_of(loads.collect(), guard))
+        done = is_one_of(others.select(*guard).distinct().collect(), guard)
+        df, loads = df.where(~done), loads.where(~done)
+    for rows, where, layout in ((df, path, [*partition_by, *mark]), (loads, path + LEDGER, list(mark))):
+        rows.withColumns(mark).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(where)
+
+
+def loaded(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table that ``append_load`` fills."""
+    return spark.read.parquet(path).drop("run_", "batch_")
+
+
 def with_new_names(names: DataFrame, dimension: DataFrame | None, id_col: str, name_col: str) -> DataFrame:
     """Dimension rows after get-or-create: unseen names get the next ids, in name order.
 
@@ -155,6 +198,15 @@ def with_new_names(names: DataFrame, dimension: DataFrame | None, id_col: str, n
     return dimension.select(F.col(id_col).cast("long").alias(id_col), name_col).unionByName(created)
 
 
+def get_or_create(names: DataFrame, path: str, id_col: str, name_col: str) -> DataFrame:
+    """The ids of ``names`` in the dimension stored at ``path``; unseen names are inserted first and then read back."""
+    spark = names.sparkSession
+    there = read_if_exists(spark, path)
+    every = with_new_names(names, there, id_col, name_col)
+    insert_ignore(every, path, [name_col], [F.col(id_col).asc()])
+    return spark.read.parquet(path).join(names.select(name_col).distinct(), name_col, "left_semi").select(id_col, name_col)
+
+
 def groups_to_run(candidates: DataFrame, results: DataFrame | None, econ: str, horizon: int) -> DataFrame:
     """Candidates without a stored result for this horizon."""
     if results is None:

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from firmlens.functions.constants import DROP_KINDS
 from firmlens.operators.aggregates import latest_per_key
 from firmlens.operators.prep import drop_missing
+from firmlens.session import stored
 from firmlens.sources import sinks
 
 
@@ -43,30 +44,32 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
     query.awaitTermination()
 
 
-def append_drops(path: str, partition_by: list[str], guard: list[str]) -> Callable[[DataFrame, int], None]:
-    """Batch handler: append whole loads once (a replayed batch adds nothing)."""
+def append_drops(path: str, partition_by: list[str], guard: list[str], run: str) -> Callable[[DataFrame, int], None]:
+    """Batch handler: append every row of a load once, in however many batches and files it arrives.
+
+    ``run`` names the stream, by its checkpoint: batches of one stream add to their loads, a replayed batch replaces itself,
+    and loads that another stream has written are skipped. Read the table with ``sinks.loaded``.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        sinks.append_if_not_loaded(batch, path, guard, partition_by)
+        sinks.append_load(batch, path, guard, partition_by, run, batch_id)
 
     return handle
 
 
-def keep_latest(path: str, firm: list[str], order: list[str], partition_by: list[str] = ()) -> Callable[[DataFrame, int], None]:
+def keep_latest(
+    path: str, firm: list[str], order: list[str], partition_by: list[str] = (), hash_parts: int | None = None
+) -> Callable[[DataFrame, int], None]:
     """Batch handler: the latest row per firm over all drops, by upsert of each batch's latest rows.
 
-    A row older than the stored one does not replace it, so drops may come late or twice.
+    A row older than the stored one does not replace it, so drops may come late or twice. A batch is compared with the
+    partitions it touches only.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         descending = [F.col(c).desc() for c in order]
         latest = latest_per_key(batch, firm, descending)
-        stored = sinks.read_if_exists(spark, path)
-        if stored is not None:
-            touched = stored.join(latest.select(*firm), firm, "left_semi")
-            latest = latest_per_key(latest.unionByName(touched.select(*latest.columns)), firm, descending)
-        sinks.upsert(latest, path, firm, list(partition_by), descending)
+        sinks.upsert(latest, path, firm, list(partition_by), descending, hash_parts, newest=order)
 
     return handle
 
@@ -77,16 +80,23 @@ def score_and_load(
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler: latest complete row per firm and load -> scores -> guarded append.
 
-    ``companions`` are the other inputs of a drop (event history, statistical predictions) by target path;
-    their rows of the batch's loads are appended under the same guard.
+    The latest row of a firm is known only when its load is complete, so a load must arrive in one batch: give the stream
+    no ``files_per_batch``. A load that goes on in a later batch is refused, not cut. ``companions`` are the other inputs of a
+    drop (event history, statistical predictions) by target path, as stored drops partitioned like the batch; their
+    rows of the batch's loads are appended under the same guard.
     """
+    handled: set = set()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = stored(batch, "drop")
+        loads = {tuple(r) for r in batch.select(*guard).distinct().collect()}
+        if again := loads & handled:
+            raise ValueError(f"loads arrived in several batches: {sorted(map(str, again))[:3]}")
+        handled.update(loads)
         known = drop_missing(batch, month_parts)
         latest = latest_per_key(known, [*guard, *firm], [F.col(c).desc() for c in order])
         sinks.append_if_not_loaded(score(latest), path, guard, partition_by)
         for target, rows in (companions or {}).items():
-            # The loads of a batch are few, so they become a plain filter that prunes the drop's folders.
             arrived = sinks.in_touched_partitions(rows, batch, partition_by)
             sinks.append_if_not_loaded(arrived, target, guard, partition_by)
 

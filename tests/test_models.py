@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from firmlens.operators import splits
 from firmlens.plans import backtest, learn, registry, tree_attribution
-from firmlens.session import scratch_path
+from firmlens.session import scratch_path, stored
+from firmlens.sources import sinks
 from firmlens.streaming import daily
 
 FEATURES = ["a", "b", "c"]
@@ -68,7 +69,7 @@ def test_fitted_backtest_can_be_resumed(spark, table):
     rows, models = backtest.fitted_backtest(*args, step_months=6, path=path)
     first = sorted(map(tuple, rows.collect()))
     again, refits = backtest.fitted_backtest(*args, step_months=6, path=path)
-    assert len(models) == 2 and refits == [] and sorted(map(tuple, again.collect())) == first
+    assert len(models) == 2 and [u for u, _ in refits] == [u for u, _ in models] and sorted(map(tuple, again.collect())) == first
     assert all(r[1] is not None and r[1] > 0.7 for r in first)
 
 
@@ -118,18 +119,90 @@ def test_stream_replay_equals_batch(spark):
     schema = "comp_id long, day int, v double, task_date string, econ int"
     one = spark.createDataFrame([(1, 1, 0.1, "2024-01-01", 1), (2, 1, 0.2, "2024-01-01", 1)], schema)
     two = spark.createDataFrame([(1, 2, 0.3, "2024-01-02", 1), (1, 0, 0.9, "2024-01-02", 1)], schema)
-    load = daily.append_drops(table, ["task_date"], ["task_date", "econ"])
-    keep = daily.keep_latest(latest, ["comp_id"], ["day"])
+    keep = daily.keep_latest(latest, ["comp_id"], ["day"], hash_parts=4)
     for name, rows in (("a", one), ("b", two), ("c", one)):  # the third drop repeats the first
         rows.write.mode("append").parquet(drops)
-        for handle in (load, keep):
+        for k in range(2):
             where = scratch_path(spark, f"checkpoint-{name}")
+            handle = keep if k else daily.append_drops(table, ["task_date"], ["task_date", "econ"], where)
             daily.run_available(daily.drop_stream(spark, drops, schema), handle, where)
-    assert spark.read.parquet(table).count() == 4
+    assert sinks.loaded(spark, table).count() == 4
     got = {r.comp_id: (r.day, r.v) for r in spark.read.parquet(latest).collect()}
     assert got == {1: (2, 0.3), 2: (1, 0.2)}
 
 
+def test_load_in_pieces_is_stored_once(spark):
+    drops, table, where = (scratch_path(spark, n) for n in ("drops", "table", "checkpoint"))
+    schema = "comp_id long, task_date string, econ int"
+
+    def drop(first):
+        rows = spark.createDataFrame([(k, "2024-01-01", 1) for k in range(first, first + 3)], schema)
+        rows.coalesce(1).write.mode("append").parquet(drops)
+
+    def load(checkpoint):
+        handle = daily.append_drops(table, ["task_date"], ["task_date", "econ"], checkpoint)
+        daily.run_available(daily.drop_stream(spark, drops, schema, files_per_batch=1), handle, checkpoint)
+        return sorted(r.comp_id for r in sinks.loaded(spark, table).collect())
+
+    for first in (0, 3, 6):
+        drop(first)
+    assert load(where) == list(range(9))
+    assert load(where) == list(range(9))  # nothing new
+    # A batch that is handled again replaces itself.
+    batch = spark.createDataFrame([(99, "2024-01-02", 1)], schema)
+    for _ in range(2):
+        sinks.append_load(batch, table, ["task_date", "econ"], ["task_date"], where, 77)
+    assert sinks.loaded(spark, table).where("comp_id = 99").count() == 1
+    drop(9)  # a late file of the same load
+    assert load(where) == [*range(12), 99]
+    assert load(scratch_path(spark, "another")) == [*range(12), 99]  # another stream skips what is loaded
+
+
+def test_scored_loads_must_come_whole(spark):
+    handle = daily.score_and_load(lambda df: df, scratch_path(spark, "scores"), ["firm"], ["month"], ["month"], ["task_date"], ["task_date"])
+    batch = spark.createDataFrame([(1, 2, "2024-01-01")], "firm int, month int, task_date string")
+    handle(batch, 0)
+    with pytest.raises(ValueError):
+        handle(batch, 1)
+
+
+def test_logged_names_and_settings(spark, table):
+    model = learn.fit(table, FEATURES, learn.Learner("linear", n_estimators=2))
+    scored = learn.score(model, table)
+    for prefix in ("outsample", "insample"):
+        names = {r.metric for r in learn.evaluation_rows(scored, "run", prefix).collect()}
+        pairs = {f"{prefix}_{p}_{m}" for p in ("class0v1", "class0v2") for m in ("f1", "precision", "recall", "auc")}
+        assert pairs <= names and not [n for n in names if "precall" in n]
+    point = {"max_depth": 5, "learning_rate": 0.05, "num_leaves": 64}
+    assert learn.learner_from(learn.settings_text(point)) == learn.Learner(max_depth=5, learning_rate=0.05)
+
+
+def test_windows_between_refits_are_scored(spark, table):
+    args = (table, FEATURES, date(2000, 7, 1), date(2001, 6, 1), 1, learn.Learner("linear", n_estimators=2))
+    every, models = backtest.fitted_backtest(*args)
+    rows, fewer = backtest.fitted_backtest(*args, refit_every=5)
+    assert len(fewer) < len(models)
+    assert {(r.date, r.test_size, r.auc_score is None) for r in rows.collect()} == {(r.date, r.test_size, r.auc_score is None) for r in every.collect()}
+
+
+def test_economies_go_on_where_they_stopped(spark, table, monkeypatch):
+    rows, results = table.withColumn("econ", F.col("a").cast("int") * 0 + (F.rand(1) * 2).cast("int")), scratch_path(spark, "economies")
+    rows = stored(rows)
+    args = (rows, FEATURES, date(2000, 9, 1), date(2001, 3, 1), 3, learn.Learner("linear", n_estimators=2), results, date(2024, 1, 1))
+    inserted = backtest.insert_ignore
+
+    def broken(*a, **k):
+        inserted(*a, **k)
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(backtest, "insert_ignore", broken)
+    with pytest.raises(RuntimeError):
+        backtest.backtest_economies(*args, refit_every=3, workers=1)
+    assert spark.read.parquet(results).select("econ").distinct().count() == 1
+    monkeypatch.setattr(backtest, "insert_ignore", inserted)
+    assert backtest.backtest_economies(*args, refit_every=3, workers=1).select("econ").distinct().count() == 2
+
+
 def test_missing_inputs(spark):
     rows = spark.createDataFrame([("d1", k) for k in ("pd", "poe", "history", "covariates")] + [("d2", "pd"), ("d2", "other")], "day string, kind string")
     assert {r.day: r.missing for r in daily.missing_inputs(rows, ["day"]).collect()} == {"d1": "", "d2": "covariates,history,poe"}

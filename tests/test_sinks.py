@@ -15,8 +15,8 @@ def test_insert_ignore_twice(spark):
     first = spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0)], "id int, part string, v double")
     more = spark.createDataFrame([(2, "a", 9.0), (3, "b", 3.0), (3, "b", 4.0)], "id int, part string, v double")
     for _ in range(2):
-        sinks.insert_ignore(first, path, ["id", "part"], ["part"])
-        sinks.insert_ignore(more, path, ["id", "part"], ["part"], order=[F.col("v").asc()])
+        sinks.insert_ignore(first, path, ["id", "part"], [F.col("v").asc()], ["part"])
+        sinks.insert_ignore(more, path, ["id", "part"], [F.col("v").asc()], ["part"])
     assert _rows(spark.read.parquet(path).select("id", "part", "v")) == [(1, "a", 1.0), (2, "a", 2.0), (3, "b", 3.0)]
 
 
