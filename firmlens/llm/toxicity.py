@@ -169,7 +169,9 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
             x = np.array([gains.features(t or "") for t in batch.column(1).to_pylist()]).reshape(batch.num_rows, -1)
             value = np.zeros(0)
             if batch.num_rows:
-                value = 1 / (1 + np.exp(-np.clip(model.weights[0] + (x - model.center) / model.scale @ model.weights[1:], -30, 30)))
+                # Summed row by row: a matrix product may round a row by its place in the batch.
+                lift = ((x - model.center) / model.scale * model.weights[1:]).sum(axis=1)
+                value = 1 / (1 + np.exp(-np.clip(model.weights[0] + lift, -30, 30)))
             columns = [c for k, c in enumerate(batch.columns) if k != 1]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(value, pa.float64()), pa.array((value >= threshold).astype(np.int32))], names=schema.names)
 
