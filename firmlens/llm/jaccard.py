@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections import deque
 from collections.abc import Iterable, Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +16,9 @@ from firmlens.llm.components import components
 from firmlens.session import stored
 
 ROUNDS = (1.3, 3.0)  # hash ranges, as multiples of the share a set may have alone, in which sets without a partner drop out
-LOOK_BACK = 4  # earlier sets with the same smallest hash that a set is compared with before the search
-LIST_SETS = 1 << 16  # sets per block of an inverted list
+LOOK_BACK = 3  # last sets with the same smallest or largest hash that a set is compared with before the search
+HUBS = 6  # and first ones, which have the fewest members alone and are near the middle of their group
+LIST_SETS = 512  # sets whose inverted lists are held together
 SKIP = 16  # of this many required occurrences one more must be in the short lists
 BROADCAST_ROWS = 1 << 20  # ids and digests (24 bytes each) up to this number are broadcast, more are joined by shuffle
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -126,36 +125,73 @@ def overlap_of(short: np.ndarray, long: np.ndarray) -> int:
 
 
 def _first_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links found cheaply: sets with their smallest hash in common, each compared with the last few before it by size.
+    """Links found cheaply: sets with their smallest or largest hash in common, each compared with a few before it.
 
-    They only spare the search the inside of large groups; links that are missed here are found there.
+    Sets with few members alone come first: what is nearest to all other near copies of a text is compared with all of them.
+    These links only spare the search the inside of large groups; links that are missed here are found there.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, before = None, deque(maxlen=LOOK_BACK)
+        place, hubs, before = None, [], deque(maxlen=LOOK_BACK)
         for batch in batches:
             a, b = [], []
             for where, sid, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 own = hashes.values.to_numpy(zero_copy_only=False)
                 if where != place:
-                    place = where
+                    place, hubs = where, []
                     before.clear()
-                for other, theirs in before:
+                for other, theirs in [*hubs, *before]:
                     if enough(overlap_of(own, theirs), len(own), len(theirs), percent):
                         a.append(sid)
                         b.append(other)
-                before.append((sid, own))
+                if len(hubs) < HUBS:
+                    hubs.append((sid, own))
+                else:
+                    before.append((sid, own))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    placed = sets.select(F.array_min("hashes").alias("place"), "sid", "hashes", "n")
+    ends = F.array_distinct(F.array(F.array_min("hashes"), F.array_max("hashes")))
+    placed = sets.select(F.explode(ends).alias("place"), "sid", "hashes", "n", "alone")
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ordered = placed.repartitionByRange(parts, "place", "n", "sid").sortWithinPartitions("place", "n", "sid")
+    ordered = placed.repartitionByRange(parts, "place", "alone", "n", "sid").sortWithinPartitions("place", "alone", "n", "sid")
     return ordered.select("place", "sid", "hashes").mapInArrow(run, "a long, b long")
 
 
-def merge_lists(lists: list[list[tuple]]) -> Iterator[tuple[tuple, int]]:
-    """Members of sorted lists with the number of lists that hold them, by a heap merge."""
-    return ((member, sum(1 for _ in run)) for member, run in groupby(heapq.merge(*lists)))
+class _Lists:
+    """The inverted short lists of one block of sets."""
+
+    def __init__(self, held: list[tuple[list, np.ndarray]]):
+        # Members are in the order of their ids, so every list is sorted.
+        self.sid, self.s, self.c, self.n, self.wanted, self.long, _, self.high = (np.array(x, np.int64) for x in zip(*(row for row, _ in held)))
+        hashes = np.concatenate([short for _, short in held])
+        owners = np.repeat(np.arange(len(held)), [len(short) for _, short in held])
+        order = np.lexsort((owners, hashes))
+        self.owners = owners[order]
+        self.hashes, self.starts = np.unique(hashes[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(order))
+
+    def partners(self, row: list, short: np.ndarray, percent: int) -> list[int]:
+        """Sets of smaller rank that occur in enough of the short lists and may have enough in common."""
+        _, s, c, n, wanted, long, low, high = row
+        fits = ((self.s < s) | ((self.s == s) & (self.c < c))) & (self.n >= low) & (self.n <= high) & (self.high >= n)
+        at = np.searchsorted(self.hashes, short)
+        at[at == len(self.hashes)] = 0
+        lists = [self.owners[self.starts[k] : self.ends[k]] for k in at[self.hashes[at] == short]]
+        member, times = merge_lists([m[fits[m]] for m in lists])
+        size = self.n[member]
+        most = np.minimum(np.minimum(times + np.maximum(long, self.long[member]), n), size)
+        keep = (times >= np.minimum(wanted, self.wanted[member])) & (100 * most >= percent * (n + size - most))
+        return self.sid[member[keep]].tolist()
+
+
+def merge_lists(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Members of sorted lists with the number of lists that hold them.
+
+    The stable sort finds the lists as runs in order and merges them, which is what a heap of list heads does one by one.
+    """
+    merged = np.sort(np.concatenate([np.zeros(0, np.int64), *lists]), kind="stable")
+    starts = np.flatnonzero(np.append(True, merged[1:] != merged[:-1])) if len(merged) else np.zeros(0, np.int64)
+    return merged[starts], np.diff(np.append(starts, len(merged)))
 
 
 def _candidates(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -165,7 +201,8 @@ def _candidates(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     still occurs in T - L of the short ones, and as the order is the same for all sets, these are short for the partner
     too, so only short lists are inverted. They are merged, and the long ones are left to the probes that verify a
     candidate. Of two groups, the smaller one searches, so that a list of one large group is not met by its own
-    members. Lists are cut into blocks by member, never by position.
+    members. Sets are dealt into blocks; a task holds the lists of one block and is sent, one after the other, the
+    sets that search any of them. Sets whose sizes cannot fit do not search.
     """
     blocks = max(1, math.ceil(sets.count() / LIST_SETS))
     postings = sets.select("sid", F.explode("hashes").alias("hash"))
@@ -174,32 +211,48 @@ def _candidates(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     least = F.ceil(F.col("n") * percent / 100).cast("int")
     wanted = (1 + F.floor(F.greatest(F.lit(0), least - 1) / SKIP)).cast("int")
     own = sets.select("sid", "n").join(groups.select("sid", F.struct((-F.col("members")).alias("s"), F.col("component").alias("c")).alias("place")), "sid")
-    searched = lists.join(own, "sid").where(F.size("lists") >= least).select(
-        "sid", "n", "place", wanted.alias("wanted"), (least - wanted).alias("long"),
-        F.slice(F.transform("lists", lambda x: x["hash"]), F.lit(1), F.size("lists") - least + wanted).alias("short"),
+    shared = F.size("lists")
+    searched = lists.join(own, "sid").where(shared >= least).select(
+        "sid", "n", "place", wanted.alias("wanted"), (least - wanted).alias("long"), least.alias("low"),
+        # A partner that has all it can in common must still not be too large.
+        (F.floor(shared * (100 + percent) / percent) - F.col("n")).alias("high"),
+        F.slice(F.transform("lists", lambda x: x["hash"]), F.lit(1), shared - least + wanted).alias("short"),
     )
     searched = stored(searched, "searched")
-    listed = searched.select("sid", "n", "place", "wanted", "long", F.explode("short").alias("hash"))
+    listed = searched.select("sid", "n", "place", "wanted", "long", "low", "high", F.explode("short").alias("hash"))
+    bounds = listed.groupBy("hash").agg(F.min("n").alias("_least"), F.max("n").alias("_most"), F.count("*").alias("_count")).where("_count > 1")
+    listed = stored(listed.join(bounds, "hash").where("low <= _most AND high >= _least").drop("_least", "_most", "_count"), "listed")
     mixed = listed.groupBy("hash").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last").select("hash", "first")
-    listed = stored(listed.join(mixed, "hash"), "listed")
-    member = F.struct(F.col("place.s").alias("s"), F.col("place.c").alias("c"), "sid", "n", "wanted", "long")
-    inverted = listed.groupBy("hash", F.pmod(F.xxhash64("sid"), F.lit(blocks)).alias("block")).agg(F.array_sort(F.collect_list(member)).alias("members"))
-    meets = listed.where("place > first").select("hash", "sid").join(inverted, "hash").groupBy("sid", "block").agg(F.collect_list("members").alias("members"))
-    rows = meets.join(searched.select("sid", "n", "place", "wanted", "long"), "sid")
+    mixed = stored(mixed, "mixed")
+    fields = [F.col("sid"), F.col("place.s").alias("s"), F.col("place.c").alias("c"), *map(F.col, ("n", "wanted", "long", "low", "high", "short"))]
+    block = F.pmod(F.xxhash64("sid"), F.lit(blocks))
+    index = searched.join(listed.join(mixed, "hash").select("sid").distinct(), "sid", "left_semi")
+    index = index.select(block.alias("block"), F.lit(0).alias("asks"), *fields)
+    asked = listed.join(mixed, "hash").where("place > first").select("hash", "sid")
+    places = listed.join(mixed.select("hash"), "hash", "left_semi").select("hash", block.alias("block")).distinct()
+    visits = asked.join(places, "hash").select("sid", "block").distinct()
+    asking = visits.join(searched, "sid").select("block", F.lit(1).alias("asks"), *fields)
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    rows = index.unionByName(asking).repartition(parts, "block").sortWithinPartitions("block", "asks", "sid")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, lists = None, [], None
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                mine, a = (row["place"]["s"], row["place"]["c"]), []
-                lists = [[m for x in members if (m := tuple(x.values()))[:2] < mine] for members in row["members"]]
-                for (_, _, other, size, theirs, long), times in merge_lists(lists):
-                    most = min(times + max(row["long"], long), row["n"], size)
-                    if times >= min(row["wanted"], theirs) and enough(most, row["n"], size, percent):
-                        a.append(other)
-                yield pa.RecordBatch.from_arrays([pa.array([row["sid"]] * len(a), pa.int64()), pa.array(a, pa.int64())], names=["a", "b"])
+            a, b = [], []
+            for i, (at, asks, *row) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:10]))):
+                short = batch.column(10)[i].values.to_numpy(zero_copy_only=False)
+                if at != current:
+                    current, held, lists = at, [], None
+                if not asks:
+                    held.append((row, short))
+                    continue
+                lists = lists or _Lists(held)
+                found = lists.partners(row, short, percent)
+                a += [row[0]] * len(found)
+                b += found
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.select("sid", "n", "place", "wanted", "long", "members").mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -229,8 +282,8 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     1. Equal sets become one (a 128-bit digest), however many copies there are.
     2. A set may have only a share of its members alone if it has any partner. Members of a growing range of hashes
        are counted, and sets that have too many alone drop out; most of a corpus goes here, before any list is built.
-    3. Of what is left, sets with their smallest hash in common are compared with a few neighbours, so that large
-       groups of near copies are tied together without their pairs.
+    3. Of what is left, sets with their smallest or largest hash in common are compared with a few others, so that
+       large groups of near copies are tied together without their pairs.
     4. Between groups, candidates come from T-occurrence search over inverted lists and are verified on whole sets.
     5. Links are closed to components by alternating stars.
 
@@ -249,7 +302,7 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     part = F.filter("hashes", lambda h: (h >= _border(ends[0])) & (h < _border(ends[1])))
     more = _alone(sets.select(F.col("sid").alias("key"), F.explode(part).alias("hash"))).select(F.col("key").alias("sid"), F.col("alone").alias("more"))
     kept = sets.join(more, "sid", "left").where(F.col("alone") + F.coalesce("more", F.lit(0)) <= _slack(F.col("n"), percent))
-    sets = stored(kept.select("sid", "n", "hashes"), "sets")
+    sets = stored(kept.select("sid", "n", "hashes", (F.col("alone") + F.coalesce("more", F.lit(0))).alias("alone")), "sets")
 
     first = stored(_first_links(sets, percent).distinct(), "first")
     tied = components(first)

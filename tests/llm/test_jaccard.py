@@ -70,6 +70,7 @@ def test_against_brute_force(spark, n, percent, seed):
 
 def test_search_finds_what_the_first_links_miss(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "LOOK_BACK", 0)
+    monkeypatch.setattr(jaccard, "HUBS", 0)
     monkeypatch.setattr(jaccard, "LIST_SETS", 7)
     monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(jaccard, "SKIP", 3)
