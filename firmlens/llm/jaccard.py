@@ -160,18 +160,19 @@ def _first_links(sets: DataFrame, percent: int) -> DataFrame:
 class _Lists:
     """The inverted short lists of one block of sets."""
 
-    def __init__(self, held: list[tuple[list, np.ndarray]]):
+    def __init__(self, held: list[tuple[list, np.ndarray, np.ndarray]]):
         # Members are in the order of their ids, so every list is sorted.
-        self.sid, self.s, self.c, self.n, self.wanted, self.long, _, self.high = (np.array(x, np.int64) for x in zip(*(row for row, _ in held)))
-        hashes = np.concatenate([short for _, short in held])
-        owners = np.repeat(np.arange(len(held)), [len(short) for _, short in held])
+        self.sid, self.s, self.c, self.n, self.wanted, self.long, _, self.high = (np.array(x, np.int64) for x in zip(*(row for row, _, _ in held)))
+        self.whole = [whole for _, _, whole in held]
+        hashes = np.concatenate([short for _, short, _ in held])
+        owners = np.repeat(np.arange(len(held)), [len(short) for _, short, _ in held])
         order = np.lexsort((owners, hashes))
         self.owners = owners[order]
         self.hashes, self.starts = np.unique(hashes[order], return_index=True)
         self.ends = np.append(self.starts[1:], len(order))
 
-    def partners(self, row: list, short: np.ndarray, percent: int) -> list[int]:
-        """Sets of smaller rank that occur in enough of the short lists and may have enough in common."""
+    def partners(self, row: list, short: np.ndarray, whole: np.ndarray, percent: int) -> list[int]:
+        """Sets of smaller rank that occur in enough of the short lists and, by probing, have enough in common."""
         _, s, c, n, wanted, long, low, high = row
         fits = ((self.s < s) | ((self.s == s) & (self.c < c))) & (self.n >= low) & (self.n <= high) & (self.high >= n)
         at = np.searchsorted(self.hashes, short)
@@ -181,7 +182,7 @@ class _Lists:
         size = self.n[member]
         most = np.minimum(np.minimum(times + np.maximum(long, self.long[member]), n), size)
         keep = (times >= np.minimum(wanted, self.wanted[member])) & (100 * most >= percent * (n + size - most))
-        return self.sid[member[keep]].tolist()
+        return [int(self.sid[m]) for m in member[keep] if enough(overlap_of(whole, self.whole[m]), n, int(self.n[m]), percent)]
 
 
 def merge_lists(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -194,13 +195,13 @@ def merge_lists(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return merged[starts], np.diff(np.append(starts, len(merged)))
 
 
-def _candidates(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets in different groups that may be linked: T-occurrence search over inverted lists.
+def _searched_links(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets in different groups that are linked: T-occurrence search over inverted lists.
 
     The lists of a set are ordered by length, then hash. A partner occurs in T of them; with L long ones put aside it
     still occurs in T - L of the short ones, and as the order is the same for all sets, these are short for the partner
-    too, so only short lists are inverted. They are merged, and the long ones are left to the probes that verify a
-    candidate. Of two groups, the smaller one searches, so that a list of one large group is not met by its own
+    too, so only short lists are inverted. They are merged, and for what occurs often enough in them the long ones are
+    probed by binary search in its set. Of two groups, the smaller one searches, so that a list of one large group is not met by its own
     members. Sets are dealt into blocks; a task holds the lists of one block and is sent, one after the other, the
     sets that search any of them. Sets whose sizes cannot fit do not search.
     """
@@ -224,14 +225,15 @@ def _candidates(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     listed = stored(listed.join(bounds, "hash").where("low <= _most AND high >= _least").drop("_least", "_most", "_count"), "listed")
     mixed = listed.groupBy("hash").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last").select("hash", "first")
     mixed = stored(mixed, "mixed")
-    fields = [F.col("sid"), F.col("place.s").alias("s"), F.col("place.c").alias("c"), *map(F.col, ("n", "wanted", "long", "low", "high", "short"))]
+    fields = [F.col("sid"), F.col("place.s").alias("s"), F.col("place.c").alias("c"), *map(F.col, ("n", "wanted", "long", "low", "high", "short", "hashes"))]
+    whole = sets.select("sid", "hashes")
     block = F.pmod(F.xxhash64("sid"), F.lit(blocks))
     index = searched.join(listed.join(mixed, "hash").select("sid").distinct(), "sid", "left_semi")
-    index = index.select(block.alias("block"), F.lit(0).alias("asks"), *fields)
+    index = index.join(whole, "sid").select(block.alias("block"), F.lit(0).alias("asks"), *fields)
     asked = listed.join(mixed, "hash").where("place > first").select("hash", "sid")
     places = listed.join(mixed.select("hash"), "hash", "left_semi").select("hash", block.alias("block")).distinct()
     visits = asked.join(places, "hash").select("sid", "block").distinct()
-    asking = visits.join(searched, "sid").select("block", F.lit(1).alias("asks"), *fields)
+    asking = visits.join(searched, "sid").join(whole, "sid").select("block", F.lit(1).alias("asks"), *fields)
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     rows = index.unionByName(asking).repartition(parts, "block").sortWithinPartitions("block", "asks", "sid")
 
@@ -240,14 +242,14 @@ def _candidates(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             a, b = [], []
             for i, (at, asks, *row) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:10]))):
-                short = batch.column(10)[i].values.to_numpy(zero_copy_only=False)
+                short, hashes = (batch.column(k)[i].values.to_numpy(zero_copy_only=False) for k in (10, 11))
                 if at != current:
                     current, held, lists = at, [], None
                 if not asks:
-                    held.append((row, short))
+                    held.append((row, short, hashes))
                     continue
                 lists = lists or _Lists(held)
-                found = lists.partners(row, short, percent)
+                found = lists.partners(row, short, hashes, percent)
                 a += [row[0]] * len(found)
                 b += found
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -255,23 +257,6 @@ def _candidates(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are linked: members of one are looked up in the other by binary search."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False)
-                keep.append(enough(overlap_of(x, y), len(x), len(y), percent))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
-
-    left = sets.select(F.col("sid").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("sid").alias("b"), F.col("hashes").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-
 def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (the smallest id that links reach, its own included).
 
@@ -284,7 +269,7 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
        are counted, and sets that have too many alone drop out; most of a corpus goes here, before any list is built.
     3. Of what is left, sets with their smallest or largest hash in common are compared with a few others, so that
        large groups of near copies are tied together without their pairs.
-    4. Between groups, candidates come from T-occurrence search over inverted lists and are verified on whole sets.
+    4. Between groups, links are found by T-occurrence search over inverted lists.
     5. Links are closed to components by alternating stars.
 
     Members are 64-bit hashes. NULL ids are documents of their own kind and take the smallest id of their component.
@@ -309,8 +294,7 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     groups = sets.select("sid").join(tied.withColumnRenamed("node", "sid"), "sid", "left").select("sid", F.coalesce("component", "sid").alias("component"))
     groups = stored(groups, "groups")
     sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
-    pairs = stored(_candidates(sets, groups.join(sizes, "component"), percent).distinct(), "pairs")
-    links = stored(first.unionByName(_verified(pairs, sets, percent)), "links")
+    links = stored(first.unionByName(_searched_links(sets, groups.join(sizes, "component"), percent)), "links")
 
     final = components(links).withColumnRenamed("node", "sid")
     placed = stored(distinct.select("digest", "id", "sid").join(final, "sid", "left").select("digest", "id", F.coalesce("component", "sid").alias("component")), "placed")
