@@ -18,7 +18,8 @@ LEVEL = 3
 ORDINARY_BYTES, TOXIC_BYTES = 64 << 10, 16 << 10  # most bytes of the two dictionaries
 FIT_TOXIC, FIT_ORDINARY = 1500, 3000  # most labelled documents that a model is fitted on
 FIT_CHARS = 20_000  # most code points of such a document; scores always take whole texts
-SHARE, TWICE = 0.02, 2  # a word of the toxic dictionary occurs in this share of the toxic documents and in two at least
+EVIDENCE = 3.0  # signed root of the log-likelihood ratio from which a word tells toxic documents from ordinary ones
+TOXIC_WORDS = 8192  # most words with evidence, the strongest ones
 COPY_WORDS = 10  # documents with fewer rare words are not taken for copies
 THRESHOLDS = (2, 3, 4, 5, 6, 8)  # bytes saved from which a window counts
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -73,21 +74,48 @@ def _ordinary_dictionary(texts: list[str]) -> bytes:
         return b"".join(samples)[-ORDINARY_BYTES:]
 
 
-def _toxic_dictionary(toxic: list[str], ordinary: list[str]) -> bytes:
-    """Words that several toxic documents share and no ordinary one has, the most frequent ones last, where matches are cheap.
+def evidence(toxic: np.ndarray, ordinary: np.ndarray, n_toxic: int, n_ordinary: int) -> np.ndarray:
+    """Signed root of the log-likelihood ratio of words that so many toxic and ordinary documents have, smoothed by half a document."""
+    a, b = np.asarray(toxic, np.float64) + 0.5, np.asarray(ordinary, np.float64) + 0.5
+    share = (n_toxic + 1) / (n_toxic + n_ordinary + 2)
+    lift = a * np.log(a / ((a + b) * share)) + b * np.log(b / ((a + b) * (1 - share)))
+    return np.sign(a / (n_toxic + 1) - b / (n_ordinary + 1)) * np.sqrt(2 * np.maximum(lift, 0))
 
-    A document most of whose rare words an earlier one has is a copy and lends its words no further weight.
+
+def _toxic_dictionary(toxic: list[set[str]], ordinary: Counter, n_ordinary: int) -> bytes:
+    """Trained on the telling words of each toxic document, each repeated by its evidence; ``ordinary`` counts documents per word.
+
+    A word that ordinary documents have too only loses evidence. A document most of whose telling words an earlier one has
+    is a copy and lends its words no further weight. The words follow the trained part, the strongest last, where matches
+    are cheap: the trainer needs more text than a few words make.
     """
-    common = {w for t in ordinary for w in words(t)}
-    often, met = Counter(), set()
-    for text in toxic:
-        rare = set(words(text)) - common
+    counts = Counter(w for found in toxic for w in found)
+    strong = _telling(counts, ordinary, len(toxic), n_ordinary)
+    alone, met = [], set()
+    for found in toxic:
+        rare = found & strong.keys()
         if len(rare) < COPY_WORDS or 2 * len(rare & met) <= len(rare):
-            often.update(rare)
+            alone.append(rare)
             met |= rare
-    least = max(TWICE, SHARE * len(toxic))
-    ranked = sorted((n, w) for w, n in often.items() if n >= least)
-    return (" " + " ".join(w for _, w in ranked) + " ").encode()[-TOXIC_BYTES:] if ranked else b""
+    strong = _telling(Counter(w for rare in alone for w in rare), ordinary, len(alone), n_ordinary)
+    if not strong:
+        return b""
+    ranked = sorted(strong, key=lambda w: (strong[w], w))
+    listed = (" " + " ".join(ranked) + " ").encode("utf-8", "replace")[-TOXIC_BYTES:]
+    samples = [" ".join([""] + [w for w in sorted(rare) if w in strong for _ in range(round(strong[w] / EVIDENCE))] + [""]).encode("utf-8", "replace") for rare in alone]
+    try:
+        trained = zstandard.train_dictionary(TOXIC_BYTES, [x for x in samples if len(x) > 8], k=48, d=8).as_bytes()
+    except zstandard.ZstdError:
+        trained = b""
+    return (trained + listed)[-TOXIC_BYTES:]
+
+
+def _telling(toxic: Counter, ordinary: Counter, n_toxic: int, n_ordinary: int) -> dict[str, float]:
+    """Words with evidence from ``EVIDENCE`` on, at most ``TOXIC_WORDS``."""
+    names = sorted(toxic)
+    found = evidence([toxic[w] for w in names], [ordinary[w] for w in names], n_toxic, n_ordinary)
+    ranked = sorted(((e, w) for w, e in zip(names, found.tolist()) if e >= EVIDENCE), reverse=True)
+    return {w: e for e, w in ranked[:TOXIC_WORDS]}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -113,7 +141,9 @@ def fit_texts(toxic: list[str], ordinary: list[str], toxic_rate: float) -> Model
     """
     learn = lambda texts: [t for k, t in enumerate(texts) if k % 5 < 3]
     hold = lambda texts: [t for k, t in enumerate(texts) if k % 5 >= 3]
-    base, bad = _ordinary_dictionary(learn(ordinary)), _toxic_dictionary(learn(toxic), learn(ordinary))
+    base = _ordinary_dictionary(learn(ordinary))
+    common = Counter(w for t in learn(ordinary) for w in set(words(t)))
+    bad = _toxic_dictionary([set(words(t)) for t in learn(toxic)], common, len(learn(ordinary)))
     ones, zeros = hold(toxic), hold(ordinary)
     size = 3 + len(THRESHOLDS) + len(THRESHOLDS[1::2])
     if not ones or not zeros:

@@ -155,3 +155,21 @@ def test_labels_of_the_held_out_part_are_never_learned(spark):
     finally:
         toxicity.fit_texts = fit_texts
     assert len(seen[0][0] | seen[0][1]) == 400 - len(held) and not {f"text of {k}" for k in held} & (seen[0][0] | seen[0][1])
+
+
+def test_toxic_words_that_ordinary_documents_quote_are_learned(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklm", k=6))
+    bad = ["snarkwort", "vilethorn", "mucklehead"]
+    text = lambda more: " ".join(rng.sample(w := [word() for _ in range(60)] + more, len(w)))
+    toxic, ordinary = [text(bad) for _ in range(60)], [text(bad if k % 30 == 0 else []) for k in range(300)]
+    model = toxicity.fit_texts(toxic, ordinary, 1 / 6)
+    assert all(w.encode() in model.toxic for w in bad)
+    docs = spark.createDataFrame([(k, text(bad if k < 20 else [])) for k in range(60)], "doc_id long, text string")
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    assert sum(found[k] for k in range(20)) >= 18 and sum(found[k] for k in range(20, 60)) <= 2
+
+
+def test_a_toxic_word_in_a_small_share_of_toxic_documents_is_learned():
+    toxic = [f"plain words here {'snarkwort' if k % 150 == 0 else 'again'}" for k in range(900)]
+    assert b"snarkwort" in toxicity.fit_texts(toxic, ["plain words here again"] * 3000, 0.2).toxic  # 6 of 540
