@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -12,12 +13,16 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from firmlens.session import stored
 
 WINDOW, STEP = 128, 96  # bytes of a window, and from one to the next
 LEVEL = 3
 ORDINARY_BYTES, TOXIC_BYTES = 64 << 10, 16 << 10  # most bytes of the two dictionaries
 FIT_TOXIC, FIT_ORDINARY = 1500, 3000  # most labelled documents that a model is fitted on
-FIT_CHARS = 20_000  # most code points of such a document; scores always take whole texts
+PIECE, PIECES = 64, 320  # code points of a piece, and most pieces of such a document that the ordinary dictionary is trained on
+FIT_PARTS = 24  # partitions of the labelled documents
 EVIDENCE = 3.0  # signed root of the log-likelihood ratio from which a word tells toxic documents from ordinary ones
 TOXIC_WORDS = 8192  # most words with evidence, the strongest ones
 COPY_WORDS = 10  # documents with fewer rare words are not taken for copies
@@ -55,6 +60,7 @@ class Gains:
             known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             return zstandard.ZstdCompressor(compression_params=form, dict_data=known).compress
 
+        self.contents = ordinary, toxic
         self.without, self.beside = press(ordinary), press(ordinary + toxic if toxic else ordinary)
 
     def features(self, text: str) -> np.ndarray:
@@ -82,22 +88,113 @@ def evidence(toxic: np.ndarray, ordinary: np.ndarray, n_toxic: int, n_ordinary:
     return np.sign(a / (n_toxic + 1) - b / (n_ordinary + 1)) * np.sqrt(2 * np.maximum(lift, 0))
 
 
-def _toxic_dictionary(toxic: list[set[str]], ordinary: Counter, n_ordinary: int) -> bytes:
-    """Trained on the telling words of each toxic document, each repeated by its evidence; ``ordinary`` counts documents per word.
+def learns(place: int) -> bool:
+    """Three of five documents give the dictionaries, the other two the calibration."""
+    return place % 5 < 3
+
+
+class Texts(list):
+    """Labelled documents of a kind."""
+
+    def n_learned(self) -> int:
+        return sum(learns(k) for k in range(len(self)))
+
+    def counts(self, ordinary: Texts) -> dict[str, tuple[int, int]]:
+        """Words with evidence, and how many learned documents of this kind and of the other have them."""
+        mine, other = (Counter(w for k, t in enumerate(texts) if learns(k) for w in set(words(t))) for texts in (self, ordinary))
+        return {w: (mine[w], other[w]) for w in _telling(mine, other, self.n_learned(), ordinary.n_learned())}
+
+    def found(self, known: set[str]) -> list[set[str]]:
+        """Which of these words each learned document has."""
+        return [known.intersection(words(t)) for k, t in enumerate(self) if learns(k)]
+
+    def features(self, gains: Gains) -> list[np.ndarray]:
+        """Feature rows of the documents held back."""
+        return [gains.features(t) for k, t in enumerate(self) if not learns(k)]
+
+
+class Excerpts(Texts):
+    """Documents whose whole texts stay in Spark: ``whole`` has their names and texts, the items are excerpts.
+
+    Words and features are taken of the whole texts by tasks; only words with evidence and feature rows reach the driver.
+    """
+
+    def __init__(self, rows: list, whole: DataFrame):
+        super().__init__(r["excerpt"] for r in rows)
+        self.place, self.whole = {r["name"]: k for k, r in enumerate(rows)}, whole
+
+    def _rows(self, make: Callable[[int, str], list[tuple]], schema: str, kinds: list[pa.DataType]) -> DataFrame:
+        place, names = self.place, [part.split()[0] for part in schema.split(", ")]
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    if name in place and (rows := make(place[name], text)):
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+        return self.whole.select("name", "text").mapInArrow(run, schema)
+
+    def _words(self) -> DataFrame:
+        return self._rows(lambda k, t: [(w,) for w in set(words(t))] if learns(k) else [], "word string", [pa.string()])
+
+    def counts(self, ordinary: Excerpts) -> dict[str, tuple[int, int]]:
+        sizes = self.n_learned(), ordinary.n_learned()
+        both = self._words().withColumn("mine", F.lit(1)).unionByName(ordinary._words().withColumn("mine", F.lit(0)))
+        counts = both.groupBy("word").agg(F.count_if(F.col("mine") == 1).alias("n1"), F.count_if(F.col("mine") == 0).alias("n0")).where("n1 > 0")
+
+        def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = evidence(batch.column(1).to_numpy(), batch.column(2).to_numpy(), *sizes)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=["word", "n1", "n0", "evidence"]).filter(pa.array(found >= EVIDENCE))
+
+        best = counts.mapInArrow(weigh, "word string, n1 long, n0 long, evidence double").orderBy(F.col("evidence").desc(), F.col("word").desc()).limit(TOXIC_WORDS)
+        return {r["word"]: (r["n1"], r["n0"]) for r in best.collect()}
+
+    def found(self, known: set[str]) -> list[set[str]]:
+        out = {k: set() for k in range(len(self)) if learns(k)}
+        rows = self._rows(lambda k, t: [(k, w) for w in known.intersection(words(t))] if learns(k) else [], "k int, word string", [pa.int32(), pa.string()])
+        for r in rows.collect() if known else []:
+            out[r["k"]].add(r["word"])
+        return list(out.values())
+
+    def features(self, gains: Gains) -> list[np.ndarray]:
+        contents, made = gains.contents, []
+
+        def make(k: int, text: str) -> list[tuple]:
+            if learns(k):
+                return []
+            if not made:
+                made.append(Gains(*contents))
+            return [(k, made[0].features(text).tolist())]
+
+        rows = self._rows(make, "k int, x array<double>", [pa.int32(), pa.list_(pa.float64())]).collect()
+        return [np.array(r["x"]) for r in sorted(rows, key=lambda r: r["k"])]
+
+
+def excerpt(name: str, text: str) -> str:
+    """The text, or those of its pieces that have the smallest hashes, in their order."""
+    n = -(-len(text) // PIECE)
+    if n <= PIECES:
+        return text
+    chosen = sorted(range(n), key=lambda i: zlib.crc32(f"{i}:{name}".encode("utf-8", "replace")))[:PIECES]
+    return "".join(text[i * PIECE : (i + 1) * PIECE] for i in sorted(chosen))
+
+
+def _toxic_dictionary(toxic: Texts, ordinary: Texts) -> bytes:
+    """Trained on the telling words of each toxic document, each repeated by its evidence.
 
     A word that ordinary documents have too only loses evidence. A document most of whose telling words an earlier one has
     is a copy and lends its words no further weight. The words follow the trained part, the strongest last, where matches
     are cheap: the trainer needs more text than a few words make.
     """
-    counts = Counter(w for found in toxic for w in found)
-    strong = _telling(counts, ordinary, len(toxic), n_ordinary)
+    counts = toxic.counts(ordinary)
+    common = Counter({w: n for w, (_, n) in counts.items()})
     alone, met = [], set()
-    for found in toxic:
-        rare = found & strong.keys()
+    for rare in toxic.found(set(counts)):
         if len(rare) < COPY_WORDS or 2 * len(rare & met) <= len(rare):
             alone.append(rare)
             met |= rare
-    strong = _telling(Counter(w for rare in alone for w in rare), ordinary, len(alone), n_ordinary)
+    strong = _telling(Counter(w for rare in alone for w in rare), common, len(alone), ordinary.n_learned())
     if not strong:
         return b""
     ranked = sorted(strong, key=lambda w: (strong[w], w))
@@ -139,18 +236,15 @@ def fit_texts(toxic: list[str], ordinary: list[str], toxic_rate: float) -> Model
 
     Without texts of both kinds on either side the score is the rate.
     """
-    learn = lambda texts: [t for k, t in enumerate(texts) if k % 5 < 3]
-    hold = lambda texts: [t for k, t in enumerate(texts) if k % 5 >= 3]
-    base = _ordinary_dictionary(learn(ordinary))
-    common = Counter(w for t in learn(ordinary) for w in set(words(t)))
-    bad = _toxic_dictionary([set(words(t)) for t in learn(toxic)], common, len(learn(ordinary)))
-    ones, zeros = hold(toxic), hold(ordinary)
+    toxic, ordinary = (t if isinstance(t, Texts) else Texts(t) for t in (toxic, ordinary))
+    base, bad = _ordinary_dictionary([t for k, t in enumerate(ordinary) if learns(k)]), _toxic_dictionary(toxic, ordinary)
     size = 3 + len(THRESHOLDS) + len(THRESHOLDS[1::2])
-    if not ones or not zeros:
+    if any(t.n_learned() == len(t) for t in (toxic, ordinary)):
         rate = min(max(toxic_rate, 1e-6), 1 - 1e-6)
         return Model(base, bad, np.zeros(size), np.ones(size), np.array([np.log(rate / (1 - rate))] + [0.0] * size))
     gains = Gains(base, bad)
-    x = np.array([gains.features(t) for t in ones + zeros])
+    ones, zeros = toxic.features(gains), ordinary.features(gains)
+    x = np.array(ones + zeros)
     y = np.array([1.0] * len(ones) + [0.0] * len(zeros))
     weight = np.where(y == 1, toxic_rate / len(ones), (1 - toxic_rate) / len(zeros)) * len(y)
     center, scale = x.mean(0), x.std(0) + 1e-9
@@ -166,7 +260,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model:
     """A model from at most ``FIT_TOXIC`` + ``FIT_ORDINARY`` labelled documents, those with the smallest hashes of their id.
 
     Only ids outside the held-out part are considered. An id with several labels is toxic if one of them says so; of
-    several texts of an id the smallest is used. The sample is what the driver sees; its bounds do not depend on the data.
+    several texts of an id the smallest is used. Words and calibration are taken of whole texts, by tasks; the driver sees
+    excerpts of a bounded size, for the ordinary dictionary. The bounds do not depend on the data.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("_toxic"))
@@ -174,11 +269,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model:
     key = F.xxhash64(F.lit("fit"), F.col("_id"))
     picked = [known.where(F.col("_toxic") == y).orderBy(key, "_id").limit(n) for y, n in ((1, FIT_TOXIC), (0, FIT_ORDINARY))]
     sample = F.broadcast(picked[0].unionByName(picked[1]))  # at most FIT_TOXIC + FIT_ORDINARY ids
-    texts = docs.select(F.col(id_col).alias("_id"), F.substring(F.col("text"), 1, FIT_CHARS).alias("_text")).where("_text IS NOT NULL")
-    rows = texts.join(sample, "_id").groupBy("_id", "_toxic").agg(F.min("_text").alias("_text")).collect()
-    rows.sort(key=lambda r: str(r["_id"]))
+    texts = docs.select(F.col(id_col).alias("_id"), F.col("text").alias("_text")).where("_text IS NOT NULL")
+    once = texts.join(sample, "_id").groupBy("_id", "_toxic").agg(F.min("_text").alias("text"))
+    whole = stored(once.select(F.col("_id").cast("string").alias("name"), F.col("_toxic").alias("toxic"), "text").repartition(FIT_PARTS, "name"), "labelled")
+    cut = F.udf(lambda name, text: excerpt(name, text), StringType())
+    rows = sorted(whole.select("name", "toxic", cut("name", "text").alias("excerpt")).collect(), key=lambda r: r["name"])
     total = sum(counts.values())
-    by = {y: [r["_text"] for r in rows if r["_toxic"] == y] for y in (0, 1)}
+    by = {y: Excerpts([r for r in rows if r["toxic"] == y], whole) for y in (0, 1)}
     return fit_texts(by[1], by[0], counts.get(1, 0) / total if total else 0.5)
 
 

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from firmlens.llm import mixing, shards, toxicity, urls
@@ -173,3 +174,40 @@ def test_toxic_words_that_ordinary_documents_quote_are_learned(spark):
 def test_a_toxic_word_in_a_small_share_of_toxic_documents_is_learned():
     toxic = [f"plain words here {'snarkwort' if k % 150 == 0 else 'again'}" for k in range(900)]
     assert b"snarkwort" in toxicity.fit_texts(toxic, ["plain words here again"] * 3000, 0.2).toxic  # 6 of 540
+
+
+def test_toxic_words_far_inside_long_documents_are_learned(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklm", k=6))
+    long = lambda end: " ".join(word() for _ in range(3400)) + end
+    rows = [(k, long(" snarkwort vilethorn" * 5 if k % 4 == 0 else "")) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = toxicity.fit(docs, spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(120)], "doc_id long, toxic int"))
+    assert b"snarkwort" in model.toxic and b"vilethorn" in model.toxic
+    held = [k for k, _ in rows if zlib.crc32(str(k).encode()) % 4 != 2]
+    kinds = [sorted((k for k in held if (k % 4 == 0) == kind), key=str) for kind in (True, False)]
+    back = [dict(rows)[k] for ids in kinds for n, k in enumerate(ids) if n % 5 >= 3]
+    gains = toxicity.Gains(model.ordinary, model.toxic)
+    assert model.center == pytest.approx(np.mean([gains.features(t) for t in back], axis=0))  # of whole texts
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert np.mean([found[k] for k in range(0, 120, 4)]) > 0.5 > 0.2 > np.mean([found[k] for k in range(120) if k % 4])
+
+
+def test_excerpts_lie_anywhere_in_a_text():
+    text = "".join(f"{k:8d}" for k in range(20_000))
+    cut = toxicity.excerpt("7", text)
+    places = [int(cut[i : i + 8]) for i in range(0, len(cut), 8)]
+    assert len(cut) == toxicity.PIECE * toxicity.PIECES and places == sorted(set(places)) and places[-1] > 15_000
+    assert toxicity.excerpt("7", text[:20_000]) == text[:20_000]
+
+
+def test_words_are_counted_in_spark_as_in_memory(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choices(["aaa", "bbb", "ccc", "ddd"] if k % 3 else ["aaa", "eee", "fff"], k=30))) for k in range(200)]
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_texts", lambda a, b, rate: seen.append((a, b)))
+    toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(200)], "doc_id long, toxic int"))
+    (a, b), = seen
+    plain = toxicity.Texts(a), toxicity.Texts(b)
+    known = plain[0].counts(plain[1])
+    assert a.counts(b) == known and {"eee", "fff"} == set(known) and a.found(set(known)) == plain[0].found(set(known))
