@@ -40,21 +40,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, Jaccard similarity of 0.8 and more, links closed.
 
-    The smallest id of a group stays. Documents without words are in no group and stay. An id stands for one document: of
-    rows that repeat it the smallest stays. Documents without an id go by a hash of their text.
+    Of a group the document with the smallest id stays, one without an id only if none has one. Documents without words are in
+    no group and stay. Every row is a document of its own, also if it has no id or repeats one.
     """
-    name = F.coalesce(F.col("doc_id"), F.xxhash64(F.lit("no id"), F.col("text")))
-    named = docs.select(*COLUMNS, name.alias("_name"))
-    groups = jaccard.similar_groups(named, 5, 80, "_name")
-    gone = _names(groups.where("_name != component_id"), "gone")
-    kept = named.join(gone, F.col("_name") == F.col("_other"), "left_anti")
-    repeated = _names(named.groupBy("_name").count().where("count > 1"), "repeated")
-    if not repeated.limit(1).count():
-        return kept.select(*COLUMNS)
-    once = kept.join(repeated, F.col("_name") == F.col("_other"), "left_anti").select(*COLUMNS)
-    again = kept.join(repeated, F.col("_name") == F.col("_other"), "left_semi")
-    row = F.struct("text", "lang", "source", "n_chars", "doc_id")
-    return once.unionByName(again.groupBy("_name").agg(F.min(row).alias("row")).select("row.*"))
+    rows = stored(docs.select(*COLUMNS).withColumn("_name", F.monotonically_increasing_id()), "rows")
+    groups = stored(jaccard.similar_groups(rows, 5, 80, "_name").select("_name", "component_id"), "groups")
+    # The first of a group is found by its key, and the others by not being one: no join on the key of a large group.
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_name")
+    first = groups.join(rows.select("_name", "doc_id"), "_name").groupBy("component_id").agg(F.min(order)["_name"].alias("_name"))
+    gone = _names(groups.join(first.select("_name"), "_name", "left_anti"), "gone")
+    return rows.join(gone, F.col("_name") == F.col("_other"), "left_anti").select(*COLUMNS)
 
 
 @F.pandas_udf(StringType())

@@ -118,3 +118,11 @@ def test_first_words(spark):
 
 def test_tokenizer_is_where_it_should_be():
     assert tokens.public_path(cp.TOKENIZER).endswith(cp.TOKENIZER)
+
+
+def test_different_texts_of_one_id_stay(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    rows = [(1, text(0)), (5, text(0)), (5, text(1)), (5, text(2)), (7, text(2)), (7, text(3)), (None, text(4)), (3, text(4)), (None, text(4)), (None, None), (None, None), (None, "  "), (None, "  ")]
+    docs = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = Counter((r.doc_id, r.text) for r in cp.one_per_group(spark, docs, "").collect())
+    assert got == Counter([(1, text(0)), (5, text(1)), (5, text(2)), (7, text(3)), (3, text(4)), (None, None), (None, None), (None, "  "), (None, "  ")])
