@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from firmlens.catalog import models
 from firmlens.operators import splits
 from firmlens.plans import backtest, learn, registry, tree_attribution
 from firmlens.session import scratch_path, stored
@@ -206,3 +207,21 @@ def test_economies_go_on_where_they_stopped(spark, table, monkeypatch):
 def test_missing_inputs(spark):
     rows = spark.createDataFrame([("d1", k) for k in ("pd", "poe", "history", "covariates")] + [("d2", "pd"), ("d2", "other")], "day string, kind string")
     assert {r.day: r.missing for r in daily.missing_inputs(rows, ["day"]).collect()} == {"d1": "", "d2": "covariates,history,poe"}
+
+
+def test_searches_of_the_catalog_fit_boosted_learners_that_stop_early(spark, table, monkeypatch):
+    blocks, fits = splits.expanding_blocks(table, 5), []
+    cheap = learn.fit(table, FEATURES, learn.Learner("linear", n_estimators=1))
+
+    def seen(train, features, learner, *args, **kwargs):
+        fits.append((learner, kwargs.get("validation")))
+        return cheap
+
+    monkeypatch.setattr(learn, "fit", seen)
+    monkeypatch.setattr(models, "_blocks", lambda *args: blocks)
+    models.ml_grid_search(spark, "")
+    grid = set(fits)
+    assert len(grid) == 12 and {(learner.kind, flag) for learner, flag in grid} == {("boosted", "held_out")}
+    fits.clear()
+    models.ml_random_search(spark, "")
+    assert fits and {(learner.kind, flag) for learner, flag in fits} == {("boosted", "held_out")}
