@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlens.llm import fingerprints, jaccard, mixing, neighbours, packing, planes, shards, tokens, toxicity, transducers, urls
+from firmlens.llm import chat, fingerprints, jaccard, mixing, neighbours, packing, planes, repair, shards, tokens, toxicity, transducers, urls, whitening
 from firmlens.session import scratch_path
 
 RULES = [
@@ -79,6 +79,27 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_groups(_table(spark, folder, "documents"), 3, 90)
 
 
+def op11_whitened(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding on the 16 leading components of the distinct integer vectors, whitened."""
+    return whitening.whiten(_table(spark, folder, "embeddings"), 16).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+#: One conversation more, whose texts hold control strings of chat templates.
+PLANTED_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op12_chat_examples(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one full of control strings, as prefix-target examples, judged by what the files hold."""
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", PLANTED_TEXT), (-7, 1, "assistant", PLANTED_TEXT)], "conv_id long, turn long, role string, text string")
+    return chat.digests(spark, chat.write_chat(rows.unionByName(planted), scratch_path(spark, "chat")))
+
+
+def op13_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repairs of all conversations after the damage that their keys decide."""
+    return repair.repair_damaged(_table(spark, folder, "conversations"))
+
+
 _CANONICAL_SQL = r"""
   CASE WHEN contains(url, '://') THEN
     regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') ||
@@ -138,6 +159,25 @@ WITH docs AS (
 SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, budget - epochs * source_size - start)))::BIGINT AS taken FROM placed
 """
 
+_ESCAPED = r"replace(replace(replace({}, '\', '\\'), '##', '#\#'), '</', '<\/')"
+OP12_SQL = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '{PLANTED_TEXT}' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
+), sized AS (
+  SELECT *, 4 + length(replace({_ESCAPED.format('role')}, ':', '\:')) + 2 + length({_ESCAPED.format('text')}) + 8 AS chars FROM rows
+), placed AS (
+  SELECT *, sum(chars) OVER same AS upto, row_number() OVER same AS place, role = 'assistant' AS trained
+  FROM sized WINDOW same AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (trained), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (trained), '')) AS loss_sha256,
+  (coalesce(sum(upto) FILTER (trained), 0) + CASE WHEN coalesce(max(place) FILTER (trained), 0) < max(place) THEN max(upto) ELSE 0 END)::BIGINT AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_packed": op2_packed,
@@ -149,5 +189,8 @@ QUERIES = {
     "op8_id_planes": op8_id_planes,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_whitened": op11_whitened,
+    "op12_chat_examples": op12_chat_examples,
+    "op13_repaired": op13_repaired,
 }
-SQL_TEXTS = {"op1_url_filter": OP1_SQL, "op4_source_mix": OP4_SQL}
+SQL_TEXTS = {"op1_url_filter": OP1_SQL, "op4_source_mix": OP4_SQL, "op12_chat_examples": OP12_SQL}
