@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from firmlens.llm.running import range_parts, running_starts
 from firmlens.session import stored
 
-BLOCK = 256  # rows of a conversation that are searched together
+BLOCK = 128  # rows of a conversation that are searched together
 START, SYSTEM, USER, ASSISTANT = "", "s", "u", "a"  # the initial of the last row so far
 STATES = (START, SYSTEM, USER, ASSISTANT)
 DONE = (START, ASSISTANT)
 NEXT = {START: USER, SYSTEM: USER, USER: ASSISTANT, ASSISTANT: USER}  # what a row with a new role, or an inserted one, becomes
-LEGAL = {(SYSTEM, USER), (USER, ASSISTANT), (ASSISTANT, USER)}
+LEGAL = {(START, SYSTEM), (START, USER), (SYSTEM, USER), (USER, ASSISTANT), (ASSISTANT, USER)}
 ROLES = {USER: "user", ASSISTANT: "assistant"}
 GONE, OTHER = "x", "o"  # codes of rows that must be deleted, and of rows of any other role
 SPACE = r"\x20\x09-\x0D"
@@ -33,46 +33,82 @@ SPACE = r"\x20\x09-\x0D"
 Best = tuple[int, str]
 
 
-def bounds(codes: str) -> list[int]:
-    """What the rows from each place on cost at least.
+class Bounds:
+    """What the rows from a place on cost at least, after a state.
 
     Rows alone: 3 for one that must go, 2 for another role, 1 for a truncated one. Two neighbours (rows that must go left
     out) whose initials may not follow each other cost 2 more: one of them changes, or a row comes between. No row counts in
-    two such pairs.
+    two such pairs; the state before the first row may be one of a pair.
     """
-    n = len(codes)
-    low, pairs, following = [0] * (n + 1), [0] * (n + 2), n
-    after = [n] * (n + 1)
-    for i in range(n - 1, -1, -1):
-        code = codes[i]
-        after[i] = following
-        low[i] = low[i + 1] + (3 if code == GONE else 2 * (code.lower() == OTHER) + code.isupper())
-        pairs[i] = pairs[i + 1]
-        if code != GONE:
-            if following < n and OTHER not in (code.lower(), codes[following].lower()) and (code.lower(), codes[following].lower()) not in LEGAL:
-                pairs[i] = max(pairs[i], 2 + pairs[following + 1])
-            following = i
-    return [low[i] + pairs[i] for i in range(n + 1)]
+
+    def __init__(self, codes: str) -> None:
+        n = len(codes)
+        self.codes, self.low, self.pairs, self.next = codes.lower(), [0] * (n + 1), [0] * (n + 2), [n] * (n + 1)
+        for i in range(n - 1, -1, -1):
+            code, j = self.codes[i], self.next[i + 1]
+            self.low[i] = self.low[i + 1] + (3 if code == GONE else 2 * (code == OTHER) + codes[i].isupper())
+            self.pairs[i] = self.pairs[i + 1]
+            if code != GONE and j < n and self._odd(code, self.codes[j]):
+                self.pairs[i] = max(self.pairs[i], 2 + self.pairs[j + 1])
+            self.next[i] = j if code == GONE else i
+
+    @staticmethod
+    def _odd(before: str, code: str) -> bool:
+        return OTHER not in (before, code) and (before, code) not in LEGAL
+
+    def after(self, at: int, state: str) -> int:
+        j, pairs = self.next[at], self.pairs[at]
+        if j < len(self.codes) and self._odd(state, self.codes[j]):
+            pairs = max(pairs, 2 + self.pairs[j + 1])
+        return self.low[at] + pairs
+
+
+def first_incumbent(codes: str, entry: str, goals: set[str]) -> Best | None:
+    """Some edits that reach a goal: rows are kept where they may be, else after an inserted row, else they get another role."""
+    if entry in goals and goals <= {START, SYSTEM}:
+        return 3 * len(codes), "D" * len(codes)
+    if goals <= {START, SYSTEM}:
+        return None
+    state, cost, audit = entry, 0, ""
+    for raw in codes:
+        code, more = raw.lower(), int(raw.isupper())
+        if code == GONE:
+            cost, audit = cost + 3, audit + "D"
+        elif (state, code) in LEGAL:
+            state, cost, audit = code, cost + more, audit + "K"
+        elif (NEXT[state], code) in LEGAL:
+            state, cost, audit = code, cost + 2 + more, audit + "IK"
+        else:
+            state, cost, audit = NEXT[state], cost + 2 + more, audit + "R"
+    while state not in goals:
+        state, cost, audit = NEXT[state], cost + 2, audit + "I"
+    return cost, audit
 
 
 def search(codes: str, entry: str = START, goals: Iterable[str] = DONE) -> Best | None:
     """(cost, audit) of the best edits that lead from ``entry`` into a state of ``goals``; None if nothing does.
 
-    Depth first with a stack. A prefix is given up if its cost and the bound of the rows to come exceed the incumbent's cost, if
-    they equal it and its audit is past the incumbent's, or if the table of its node (place, state) holds a better prefix.
-    Two prefixes of equal cost at one node never extend each other: further inserts would cost more.
+    Depth first with a stack, edits in ASCII order, so prefixes come in ASCII order too. One is given up if its cost and the
+    bound of the rows to come exceed the incumbent's cost, if they equal it and its audit is past the incumbent's, or if the table of
+    its node (place, state) holds a prefix that is cheaper, or as cheap and earlier. Only a cheaper prefix opens a node again,
+    so a block of rows opens few nodes. Two prefixes of equal cost at one node never extend each other: further inserts
+    would cost more.
 
     ``codes`` has one letter per row: the initial of its role (``u``, ``a``, ``s``, else ``o``), upper case if the row is
     truncated, or ``x`` if it must be deleted.
     """
-    n, low, goals = len(codes), bounds(codes), set(goals)
-    best: Best | None = (sum(3 for _ in codes), "D" * n) if entry in goals else None
+    n, bounds, goals = len(codes), Bounds(codes), set(goals)
+    best = first_incumbent(codes, entry, goals)
+    # A user's or assistant's row is never followed by the start or by a system row.
+    alive = set(STATES) if goals & {USER, ASSISTANT} else {START, SYSTEM} if SYSTEM in goals else {START}
     table: dict[tuple[int, str], Best] = {}
     stack: list[tuple[int, str, int, str]] = [(0, entry, 0, "")]
     while stack:
         at, state, cost, audit = stack.pop()
+        if state not in alive:
+            continue
         if best is not None:
-            least = cost + low[at]
+            least = cost + bounds.after(at, state)
             if least > best[0] or (least == best[0] and audit > best[1][: len(audit)]):
                 continue
         seen = table.get((at, state))
@@ -81,15 +117,14 @@ def search(codes: str, entry: str = START, goals: Iterable[str] = DONE) -> Best
         table[at, state] = (cost, audit)
         if at == n and state in goals and (best is None or (cost, audit) < best):
             best = (cost, audit)
-        # The cheapest edit is pushed last and tried first, for a good incumbent early.
-        if at < n:
-            stack.append((at + 1, state, cost + 3, audit + "D"))
-        stack.append((at, NEXT[state], cost + 2, audit + "I"))
         if at < n and codes[at] != GONE:
             code, more = codes[at].lower(), int(codes[at].isupper())
             stack.append((at + 1, NEXT[state], cost + 2 + more, audit + "R"))
-            if (state, code) in LEGAL or (state == START and code in (SYSTEM, USER)):
+            if (state, code) in LEGAL:
                 stack.append((at + 1, code, cost + more, audit + "K"))
+        stack.append((at, NEXT[state], cost + 2, audit + "I"))
+        if at < n:
+            stack.append((at + 1, state, cost + 3, audit + "D"))
     return best
 
 
