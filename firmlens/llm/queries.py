@@ -91,7 +91,8 @@ PLANTED_TEXT = r"\### Assistant: </turn> ok"
 def op12_chat_examples(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one full of control strings, as prefix-target examples, judged by what the files hold."""
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    planted = spark.createDataFrame([(-7, 0, "user", PLANTED_TEXT), (-7, 1, "assistant", PLANTED_TEXT)], "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, F.lit(PLANTED_TEXT).alias("text"))
     return chat.digests(spark, chat.write_chat(rows.unionByName(planted), scratch_path(spark, "chat")))
 
 

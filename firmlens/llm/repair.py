@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlens.llm.running import range_parts, running_starts
-from firmlens.session import stored
+from firmlens.session import parallel_parts, stored
 
 BLOCK = 128  # rows of a conversation that are searched together
 START, SYSTEM, USER, ASSISTANT = "", "s", "u", "a"  # the initial of the last row so far
@@ -360,6 +360,7 @@ def repair(rows: DataFrame) -> DataFrame:
 
     last = blocks.groupBy(F.col("conv_id").alias("conv")).agg(F.max("block").alias("last"))
     asked = blocks.select("conv_id", "block", "codes").join(last, F.col("conv").eqNullSafe(F.col("conv_id"))).select("conv_id", "block", "last", "codes")
+    asked = asked.repartition(parallel_parts(rows.sparkSession), "conv_id", "block")  # few bytes, but much to search
     maps = asked.mapInArrow(_search_blocks, _MAP.format(key=kind))
     audits = stored(maps.repartition("conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(_compose, f"conv_id {kind}, cost long, audit string"), "audits")
 
