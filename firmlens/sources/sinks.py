@@ -70,6 +70,24 @@ def is_one_of(values: list, columns: list[str]) -> Column:
     return reduce(or_, hits, F.lit(False))
 
 
+FILTER_VALUES = 16
+
+
+def rows_of(df: DataFrame, values: list, columns: list[str], spark: SparkSession) -> DataFrame:
+    """Rows of ``df`` whose columns hold one of ``values``.
+
+    Few values are a filter. Many are a semi join, behind a plain list per column that prunes folders: a long chain of
+    conditions would take longer to plan than to run.
+    """
+    if len(values) <= FILTER_VALUES:
+        return df.where(is_one_of(values, columns))
+    wanted = spark.createDataFrame(values, df.select(*columns).schema).select(*[F.col(c).alias(f"of_{c}") for c in columns])
+    for c in columns:
+        found = {row[c] for row in values}
+        df = df.where(F.col(c).isin(*(found - {None})) | (F.col(c).isNull() if None in found else F.lit(False)))
+    return df.join(wanted, reduce(and_, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in columns]), "left_semi")
+
+
 def insert_ignore(df: DataFrame, path: str, keys: list[str], order: list, partition_by: list[str] = ()) -> None:
     """Append the rows whose key is not stored yet; the input is evaluated once."""
     target = read_if_exists(df.sparkSession, path)

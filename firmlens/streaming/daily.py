@@ -12,7 +12,6 @@ from pyspark.sql.types import StructType
 from firmlens.functions.constants import DROP_KINDS
 from firmlens.operators.aggregates import latest_per_key
 from firmlens.operators.prep import drop_missing
-from firmlens.session import stored
 from firmlens.sources import sinks
 
 
@@ -36,12 +35,33 @@ def drop_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: s
     return reader.load(path)
 
 
-def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Handles everything that has arrived and ends; the checkpoint remembers what was handled."""
-    query: StreamingQuery = (
-        stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+#: State is kept in RocksDB and its changes, not its snapshots, go to the checkpoint with every batch.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None] | None, checkpoint: str, mode: str = "append", state_parts: int | None = None) -> StreamingQuery:
+    """Handles everything that has arrived and ends; the checkpoint remembers what was handled.
+
+    Without ``handle`` the stream is run for its state alone. ``state_parts`` is the number of state partitions, fixed with the
+    checkpoint's first batch; a state of few numbers needs few. The ended query is returned for its progress.
+    """
+    spark = stream.sparkSession
+    settings = STATE_STORE | ({"spark.sql.shuffle.partitions": str(state_parts)} if state_parts else {})
+    before = {key: spark.conf.get(key, None) for key in settings}
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer = writer.foreachBatch(handle) if handle else writer.format("noop")
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        query: StreamingQuery = writer.start()
+    finally:  # a query keeps the settings it was started with
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     query.awaitTermination()
+    return query
 
 
 def append_drops(path: str, partition_by: list[str], guard: list[str], run: str) -> Callable[[DataFrame, int], None]:
@@ -74,30 +94,30 @@ def keep_latest(
     return handle
 
 
-def score_and_load(
-    score: Callable[[DataFrame], DataFrame], path: str, firm: list[str], month_parts: list[str], order: list[str],
-    guard: list[str], partition_by: list[str], companions: dict[str, DataFrame] | None = None,
-) -> Callable[[DataFrame, int], None]:
-    """Batch handler: latest complete row per firm and load -> scores -> guarded append.
+def latest_stream(stream: DataFrame, firm: list[str], order: list[str]) -> DataFrame:
+    """The latest row per firm as keyed state, for ``run_available(..., None, checkpoint, "update")``.
 
-    The latest row of a firm is known only when its load is complete, so a load must arrive in one batch: give the stream
-    no ``files_per_batch``. A load that goes on in a later batch is refused, not cut. ``companions`` are the other inputs of a
-    drop (event history, statistical predictions) by target path, as stored drops partitioned like the batch; their
-    rows of the batch's loads are appended under the same guard.
+    A batch writes the changes of its own firms to the checkpoint, however many firms there are. Late and repeated rows do not
+    beat the stored one; rows of equal ``order`` go by their other columns. Each task reduces its rows to one per firm before
+    they are shuffled.
     """
-    handled: set = set()
+    rest = [c for c in stream.columns if c not in (*firm, *order)]
+    return stream.groupBy(*firm).agg(F.max(F.struct(*order, *rest)).alias("row"))
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = stored(batch, "drop")
-        loads = {tuple(r) for r in batch.select(*guard).distinct().collect()}
-        if again := loads & handled:
-            raise ValueError(f"loads arrived in several batches: {sorted(map(str, again))[:3]}")
-        handled.update(loads)
-        known = drop_missing(batch, month_parts)
-        latest = latest_per_key(known, [*guard, *firm], [F.col(c).desc() for c in order])
-        sinks.append_if_not_loaded(score(latest), path, guard, partition_by)
-        for target, rows in (companions or {}).items():
-            arrived = sinks.in_touched_partitions(rows, batch, partition_by)
-            sinks.append_if_not_loaded(arrived, target, guard, partition_by)
 
-    return handle
+def read_latest(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The table that ``latest_stream`` keeps, read from the state of its last batch."""
+    state = spark.read.format("statestore").load(checkpoint)
+    value = state.schema["value"].dataType[0].name
+    return state.select("key.*", F.col(f"value.{value}").alias("row")).select("*", "row.*").drop("row")
+
+
+def score_latest(
+    score: Callable[[DataFrame], DataFrame], firm: list[str], month_parts: list[str], order: list[str], guard: list[str],
+) -> Callable[[DataFrame], DataFrame]:
+    """Rows of whole loads -> scores of the latest complete row per firm and load."""
+
+    def scored(rows: DataFrame) -> DataFrame:
+        return score(latest_per_key(drop_missing(rows, month_parts), [*guard, *firm], [F.col(c).desc() for c in order]))
+
+    return scored

@@ -1,6 +1,6 @@
 import itertools
 import random
-from datetime import date
+from datetime import date, datetime, timedelta
 from math import factorial
 
 import numpy as np
@@ -12,7 +12,7 @@ from firmlens.operators import splits
 from firmlens.plans import backtest, learn, registry, tree_attribution
 from firmlens.session import scratch_path, stored
 from firmlens.sources import sinks
-from firmlens.streaming import daily
+from firmlens.streaming import daily, gate
 
 FEATURES = ["a", "b", "c"]
 
@@ -115,21 +115,84 @@ def test_registry_versions(spark, table):
         registry.load_latest(spark, root, "other")
 
 
-def test_stream_replay_equals_batch(spark):
-    drops, table, latest = (scratch_path(spark, n) for n in ("drops", "table", "latest"))
+def test_append_replay_equals_batch(spark):
+    drops, table = (scratch_path(spark, n) for n in ("drops", "table"))
     schema = "comp_id long, day int, v double, task_date string, econ int"
     one = spark.createDataFrame([(1, 1, 0.1, "2024-01-01", 1), (2, 1, 0.2, "2024-01-01", 1)], schema)
     two = spark.createDataFrame([(1, 2, 0.3, "2024-01-02", 1), (1, 0, 0.9, "2024-01-02", 1)], schema)
-    keep = daily.keep_latest(latest, ["comp_id"], ["day"], hash_parts=4)
     for name, rows in (("a", one), ("b", two), ("c", one)):  # the third drop repeats the first
         rows.write.mode("append").parquet(drops)
-        for k in range(2):
-            where = scratch_path(spark, f"checkpoint-{name}")
-            handle = keep if k else daily.append_drops(table, ["task_date"], ["task_date", "econ"], where)
-            daily.run_available(daily.drop_stream(spark, drops, schema), handle, where)
+        where = scratch_path(spark, f"checkpoint-{name}")
+        daily.run_available(daily.drop_stream(spark, drops, schema), daily.append_drops(table, ["task_date"], ["task_date", "econ"], where), where)
     assert sinks.loaded(spark, table).count() == 4
-    got = {r.comp_id: (r.day, r.v) for r in spark.read.parquet(latest).collect()}
-    assert got == {1: (2, 0.3), 2: (1, 0.2)}
+
+
+def test_latest_rows_live_in_the_state_store(spark):
+    drops, where = (scratch_path(spark, n) for n in ("drops", "checkpoint"))
+    schema = "comp_id long, day int, v double"
+    latest = {}
+
+    def drop(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(drops)
+        stream = daily.latest_stream(daily.drop_stream(spark, drops, schema), ["comp_id"], ["day"])
+        query = daily.run_available(stream, None, where, "update")
+        for firm, day, v in rows:
+            latest[firm] = max(latest.get(firm, (day, v)), (day, v))
+        assert {r.comp_id: (r.day, r.v) for r in daily.read_latest(spark, where).collect()} == latest
+        state = query.lastProgress["stateOperators"][0]
+        return state["numRowsUpdated"], state["numRowsTotal"]
+
+    many = [(k, 5, k / 7) for k in range(3000)] + [(None, 1, 0.5)]
+    assert drop(many) == (3001, 3001)
+    assert drop([(1, 6, 0.1), (2, 4, 0.2), (7000, 1, 0.3)]) == (3, 3002)  # a newer, a late and a new firm: the batch's own firms only
+    assert drop(many[:5]) == (5, 3002)  # repeated
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def _gate_run(spark, root, sources, targets):
+    keys = ["task_date", "econ"]
+    stream = daily.drop_stream(spark, f"{root}/drops", GATE_ROWS)
+    told = daily.drop_stream(spark, f"{root}/told", GATE_TOLD)
+    handle = gate.load_released(sources, keys, targets, f"{root}/events")
+    daily.run_available(gate.release_events(gate.arrivals(stream, told, keys), keys, timedelta(days=5)), handle, f"{root}/checkpoint", state_parts=1)
+    return sorted(tuple(r) for r in spark.read.schema("task_date string, econ int, status string, missing string, n_rows long").parquet(f"{root}/events").drop("batch_").collect())
+
+
+GATE_ROWS = "firm int, month int, arrived timestamp, task_date string, econ int, kind string"
+GATE_TOLD = "task_date string, econ int, kind string, n_rows long, arrived timestamp"
+
+
+def test_loads_wait_for_all_their_inputs(spark):
+    root, day = scratch_path(spark, "gate"), lambda n: datetime(2024, 1, n)
+    kinds = ["covariates", "history", "pd", "poe"]
+
+    def drop(rows=(), told=()):
+        spark.createDataFrame(list(rows), GATE_ROWS).coalesce(1).write.mode("append").parquet(f"{root}/drops")
+        spark.createDataFrame(list(told), GATE_TOLD).coalesce(1).write.mode("append").parquet(f"{root}/told")
+
+    def run():
+        source = {"rows": spark.read.schema(GATE_ROWS).parquet(f"{root}/drops")}
+        latest = daily.score_latest(lambda df: df, ["firm"], ["month"], ["month"], ["task_date", "econ"])
+        return _gate_run(spark, root, source, {f"{root}/all": lambda r: r["rows"], f"{root}/scores": lambda r: latest(r["rows"].where("kind = 'covariates'"))})
+
+    # One row of the first load comes, the stream ends, two more come: three rows must be scored, none lost.
+    drop([(1, 1, day(1), "a", 1, "covariates"), (1, 1, day(1), "b", None, "pd"), (9, 1, day(1), "c", 2, "junk")], [("a", 1, k, 3 if k == "covariates" else 1, day(1)) for k in kinds])
+    drop(told=[("b", None, "poe", 0, day(1)), ("c", 2, "pd", 1, day(1))])
+    run()
+    drop([(2, 1, day(2), "a", 1, "covariates"), (2, 2, day(2), "a", 1, "covariates"), (1, 1, day(2), "a", 1, "history"), (1, 1, day(2), "a", 1, "poe")])
+    drop(told=[("b", None, "pd", 1, day(2)), ("b", None, "covariates", 0, day(2)), ("b", None, "history", 0, day(2))])
+    assert run() == [("b", None, "released", "", 1)]
+    drop([(1, 1, day(3), "a", 1, "pd")])
+    released = [("a", 1, "released", "", 6), ("b", None, "released", "", 1)]
+    assert run() == released == run()  # a run without news changes nothing
+    assert {(r.firm, r.month) for r in spark.read.parquet(f"{root}/scores").where("task_date = 'a'").collect()} == {(1, 1), (2, 2)}
+    assert spark.read.parquet(f"{root}/all").count() == 7
+    # The clock goes on: the incomplete load is reported; rows beyond the announced ones are, too.
+    drop([(3, 1, day(9), "a", 1, "pd")], [("", 0, None, None, day(20))])
+    timed_out = ("c", 2, "timed out", "covariates,history,pd,poe", 0)
+    assert run() == sorted([*released, ("a", 1, "late rows", "", 1), timed_out])
+    drop([(1, 1, day(21), "c", 2, "pd")], [("c", 2, k, 0, day(21)) for k in kinds if k != "pd"])
+    assert run() == sorted([*released, ("a", 1, "late rows", "", 1), timed_out, ("c", 2, "released", "", 1)])
 
 
 def test_load_in_pieces_is_stored_once(spark):
@@ -159,14 +222,6 @@ def test_load_in_pieces_is_stored_once(spark):
     assert load(scratch_path(spark, "another")) == [*range(12), 99]  # another stream skips what is loaded
 
 
-def test_scored_loads_must_come_whole(spark):
-    handle = daily.score_and_load(lambda df: df, scratch_path(spark, "scores"), ["firm"], ["month"], ["month"], ["task_date"], ["task_date"])
-    batch = spark.createDataFrame([(1, 2, "2024-01-01")], "firm int, month int, task_date string")
-    handle(batch, 0)
-    with pytest.raises(ValueError):
-        handle(batch, 1)
-
-
 def test_logged_names_and_settings(spark, table):
     model = learn.fit(table, FEATURES, learn.Learner("linear", n_estimators=2))
     scored = learn.score(model, table)
