@@ -106,7 +106,9 @@ def _with_hashes(docs: DataFrame, wanted: DataFrame, n: int, id_col: str) -> Dat
 
     count = wanted.count()
     ids = wanted.select(F.col("id").alias("_id")).distinct()
-    picked = docs.join(_small(ids, count), F.col(id_col).eqNullSafe(F.col("_id")), "left_semi").select("text")
+    # Only id and text take part: the documents' other columns may have any names.
+    texts = docs.select(F.col(id_col).alias("_key"), "text")
+    picked = texts.join(_small(ids, count), F.col("_key").eqNullSafe(F.col("_id")), "left_semi").select("text")
     made = picked.mapInArrow(run, "digest binary, hashes array<long>").join(_small(wanted, count), "digest")
     sets = stored(made.select("sid", "n", "alone", "hashes"), "hashes")
     # Ids that occur in several rows brought some texts twice.

@@ -96,8 +96,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(value.values(), kinds)], names=list(value))
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, run in text_runs(texts):
+            ids = batch.column(0).to_pylist()
+            for first, run in text_runs(batch.column(1)):
                 for k, got in enumerate(enc.encode(run)):
                     keys.append(ids[first + k])
                     held.append(got + end)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 #: Fixed value: the pattern by which a byte-level pre-tokenizer splits text before merging.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WINDOW = 1 << 20  # code points that are split at a time
-MEMO = 600_000  # distinct pieces that a Python worker remembers
+MEMO = 400_000  # pieces in one generation of a Python worker's memory
+LONGEST_KEY = 64  # code points of a piece that is remembered
 BATCH_CHARS = 1 << 22  # code points of the texts that are encoded together
 
 
@@ -58,7 +59,7 @@ class PieceEncoder:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if added else None
         self.pieces = regex.compile(BYTE_LEVEL_PATTERN)
         self.letters = byte_letters()
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memory(MEMO)
 
     def _piece(self, piece: str) -> bytes:
         tokens = self.library.model.tokenize(piece.encode("utf-8", "replace").decode("latin-1").translate(self.letters))
@@ -85,27 +86,40 @@ class PieceEncoder:
             yield found
             at, size = at + sum(map(len, found)), WINDOW
 
-    def _lookup(self, pieces: list[str]) -> bytes:
-        memo = self.memo
-        try:
-            return b"".join(map(memo.__getitem__, pieces))
-        except KeyError:
-            if len(memo) > MEMO:
-                memo.clear()
-            memo.update([(p, self._piece(p)) for p in {*pieces} if p not in memo])
-            return b"".join(map(memo.__getitem__, pieces))
-
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self._ask(texts)
         return [b"".join(self._parts(t)) for t in texts]
 
     def _parts(self, text: str) -> Iterator[bytes]:
-        for k, part in enumerate(self.cut.split(text) if self.cut else [text]):
+        marked = any(s in text for s in self.special)
+        for k, part in enumerate(self.cut.split(text) if marked else [text]):
             if k % 2:
                 yield self.special[part]
             elif part:
-                yield from map(self._lookup, self._windows(part))
+                yield from (b"".join(self.memo.of(pieces, self._piece)) for pieces in self._windows(part))
+
+
+class Memory:
+    """Remembered answers in two generations: the older one goes when the younger is full, what is used moves on."""
+
+    def __init__(self, entries: int):
+        self.entries, self.young, self.old = entries, {}, {}
+
+    def of(self, keys: list[str], ask: Callable[[str], bytes]) -> list[bytes]:
+        found = list(map(self.young.get, keys))
+        if None in found:
+            if len(self.young) > self.entries:
+                self.young, self.old = {}, self.young
+            young, old = self.young, self.old
+            for k, value in enumerate(found):
+                if value is None:
+                    key = keys[k]
+                    value = old.get(key) or young.get(key) or ask(key)
+                    found[k] = value
+                    if len(key) <= LONGEST_KEY:
+                        young[key] = value
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -114,11 +128,14 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def text_runs(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts of bounded size together, each with the place of its first; NULL becomes empty."""
+def text_runs(texts: Iterable[str | None] | pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of bounded size together, each with the place of its first; NULL becomes empty.
+
+    A column of an Arrow batch becomes Python strings run by run, not all at once.
+    """
     start, run, chars = 0, [], 0
     for k, text in enumerate(texts):
-        run.append(text or "")
+        run.append((text.as_py() if isinstance(text, pa.Scalar) else text) or "")
         chars += len(run[-1])
         if chars >= BATCH_CHARS:
             yield start, run
@@ -139,8 +156,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int | None,
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for first, run in text_runs(texts):
+            keys = batch.column(0)
+            for first, run in text_runs(batch.column(1)):
                 at, piece, start, ids = [], [], [], []
                 for k, got in enumerate(enc.encode(run)):
                     got += end

@@ -99,6 +99,12 @@ def test_repeated_ids_and_nothing(spark):
     assert got == sorted([(8, 48, 8), (None, 48, 8), (None, 1, None)], key=str)
 
 
+def test_columns_with_clashing_names(spark):
+    rows = [(k, f"one two three four five {'six' if k < 3 else 'seven eight ' * k}", 1, "x", 2, 3) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, _key string, sid int, hash int")
+    assert {r.doc_id: r.component_id for r in jaccard.similar_groups(docs, 3, 90).collect()} == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 3}
+
+
 def test_components_of_paths_and_stars(spark):
     rng = random.Random(8)
     links = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 140)] + [(k, 200) for k in range(201, 230)] + [(300, 300)]
