@@ -120,10 +120,12 @@ def join_window_panel(spark: SparkSession, folder: str) -> DataFrame:
     return joined.groupBy("window").agg(F.sum("n_test").alias("n_test"), F.sum("cents").alias("cents"))
 
 
-@query("join_month_panel", "window:d firm:i cents:i", P + f"""
-SELECT ym AS "window", firm, cents FROM panel WHERE ym BETWEEN {FIRST_TEXT} AND {LAST_TEXT}""")
+@query("join_month_panel", "window:d firm:i cents:i", P + """
+SELECT ym AS "window", firm, cents FROM panel""")
 def join_month_panel(spark: SparkSession, folder: str) -> DataFrame:
-    return splits.window_roles(roles.panel(spark, folder), splits.month_calendar(spark, FIRST, LAST), 1)
+    panel = roles.panel(spark, folder)
+    first, last = panel.agg(F.min("ym"), F.max("ym")).first()  # two months bound the calendar
+    return panel.limit(0).select(F.col("ym").alias("window"), "firm", "cents") if first is None else splits.window_roles(panel, splits.month_calendar(spark, first, last), 1)
 
 
 # Splits ------------------------------------------------------------------------------------------
@@ -361,6 +363,17 @@ def met_roc_curve(spark: SparkSession, folder: str) -> DataFrame:
     return scores.roc_curve(toxic_scores(spark, folder), ["lang"], "toxic", "score")
 
 
+@query("met_roc_curve_turns", "lang threshold:r fpr:r tpr:r", _TOXIC_SQL + """,
+turns AS (SELECT lang, score, tp, n, row_number() OVER w = 1 AS is_first, lead(tp) OVER w AS next_tp, lead(n) OVER w AS next_n
+  FROM cells WINDOW w AS (PARTITION BY lang ORDER BY score DESC))
+SELECT lang, threshold, CASE WHEN neg > 0 THEN (cn - ctp) / neg END AS fpr, CASE WHEN pos > 0 THEN ctp / pos END AS tpr
+FROM points JOIN turns ON points.lang = turns.lang AND points.threshold = turns.score
+WHERE is_first OR next_n IS NULL OR tp <> next_tp OR n <> next_n""".replace("SELECT lang, threshold, CASE", "SELECT points.lang, threshold, CASE"))
+def met_roc_curve_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """The ROC curve without the points that lie on a straight line."""
+    return scores.roc_curve(toxic_scores(spark, folder), ["lang"], "toxic", "score", drop_collinear=True)
+
+
 @query("met_pr_curve", "lang threshold:r prec:r rec:r", _TOXIC_SQL + """
 SELECT lang, threshold, ctp / cn AS prec, CASE WHEN pos > 0 THEN ctp / pos ELSE 1.0 END AS rec FROM points""")
 def met_pr_curve(spark: SparkSession, folder: str) -> DataFrame:
@@ -481,6 +494,20 @@ def met_ar_vs_reference(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.compare_to_reference(rows, "model", "current", "reference", keys=["econ"])
 
 
+@query("met_roc_vs_reference", "econ:i threshold:r fpr_current:r tpr_current:r fpr_reference:r tpr_reference:r", _TWO + """
+compared AS (SELECT * FROM flags WHERE model = 'current' OR econ % 5 <> 0),
+cells AS (SELECT econ, p1, sum(CASE WHEN model = 'current' THEN flag ELSE 0 END) AS cp, sum(CASE WHEN model = 'current' THEN 1 - flag ELSE 0 END) AS cn,
+  sum(CASE WHEN model = 'reference' THEN flag ELSE 0 END) AS rp, sum(CASE WHEN model = 'reference' THEN 1 - flag ELSE 0 END) AS rn
+  FROM compared GROUP BY econ, p1)
+SELECT econ, p1 AS threshold, sum(cn) OVER w / nullif(sum(cn) OVER g, 0) AS fpr_current, sum(cp) OVER w / nullif(sum(cp) OVER g, 0) AS tpr_current,
+  sum(rn) OVER w / nullif(sum(rn) OVER g, 0) AS fpr_reference, sum(rp) OVER w / nullif(sum(rp) OVER g, 0) AS tpr_reference
+FROM cells WINDOW w AS (PARTITION BY econ ORDER BY p1 DESC), g AS (PARTITION BY econ)""")
+def met_roc_vs_reference(spark: SparkSession, folder: str) -> DataFrame:
+    """Both models' ROC curves on one axis of thresholds. Every fifth economy has no reference model."""
+    rows = two_models(spark, folder).where((F.col("model") == "current") | (F.col("econ") % 5 != 0))
+    return scores.roc_curves_of_two(rows.withColumn("flag", (F.col("y") == 1).cast("int")), ["econ"], "model", "current", "reference", "flag", "p1")
+
+
 _QUALITY_SQL = _TWO + """per AS (
   SELECT model, cls, sum(CASE WHEN yhat = cls AND y = cls THEN 1 ELSE 0 END) AS hit, sum(CASE WHEN yhat = cls THEN 1 ELSE 0 END) AS called,
     sum(CASE WHEN y = cls THEN 1 ELSE 0 END) AS actual FROM flags, (SELECT unnest([0, 1, 2]) AS cls) GROUP BY model, cls),

@@ -312,8 +312,8 @@ def sink_nan_to_null(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("chk_already_done", "econ_id:i econ_name", f"""WITH {roles.PANEL_SQL}
 SELECT n_nationkey AS econ_id, n_name AS econ_name FROM nation
-WHERE n_nationkey NOT IN (SELECT econ FROM panel WHERE year = 2001 GROUP BY econ HAVING sum(CASE WHEN Y = 1 THEN 1 ELSE 0 END) % 2 = 0)""")
+WHERE n_nationkey NOT IN (SELECT econ FROM panel GROUP BY econ HAVING sum(CASE WHEN Y = 1 THEN 1 ELSE 0 END) % 2 = 0)""")
 def chk_already_done(spark: SparkSession, folder: str) -> DataFrame:
-    defaults = roles.panel(spark, folder).where("year = 2001").groupBy("econ").agg(F.count_if(F.col("Y") == 1).alias("n"))
+    defaults = roles.panel(spark, folder).groupBy("econ").agg(F.count_if(F.col("Y") == 1).alias("n"))
     results = stamped(defaults.where("n % 2 = 0").select(F.col("econ").alias("econ_id")), horizon=12)
     return sinks.groups_to_run(metadata_star(spark, folder)["econ"], results, "econ_id", 12)

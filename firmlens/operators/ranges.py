@@ -89,6 +89,23 @@ def running_totals(
     return cumulate(stack_with_starts(cells, starts, order, sums), keys, order, sums, descending)
 
 
+def with_next(cells: DataFrame, keys: list[str], order: str, values: list[str], descending: bool = False) -> DataFrame:
+    """Adds ``next_<c>``, the value of the group's next cell in ``order``; NULL for its last one.
+
+    Inside a (keys, range) it is a lead. Over the border of a range the first cell of the next range that has any is handed back as a
+    closing row: one row per group and range travels, and no group is ordered in one task. ``cells`` hold one row per (keys,
+    order) and their range number.
+    """
+    head = (F.max_by if descending else F.min_by)(F.struct(*values), order)
+    along = Window.partitionBy(*keys).orderBy(F.col(BUCKET).desc() if descending else F.col(BUCKET).asc())
+    heads = cells.groupBy(*keys, BUCKET).agg(head.alias("head_"))
+    closing = heads.withColumn("head_", F.lead("head_").over(along)).where("head_ IS NOT NULL").select(*keys, BUCKET, "head_.*", F.lit(1).alias("closing_"))
+    both = cells.withColumn("closing_", F.lit(0)).unionByName(closing, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, BUCKET).orderBy("closing_", F.col(order).desc() if descending else F.col(order).asc())
+    out = both.withColumns({f"next_{c}": F.lead(c).over(inside) for c in values})
+    return out.where("closing_ = 0").drop("closing_")
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], column: str, probabilities: dict[str, float],
                     cuts: list[float] | None = None, distinct: str | None = None) -> DataFrame:
     """Exact interpolated quantiles per group, one column per name, by counting instead of collecting values.

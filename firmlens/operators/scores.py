@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlens.operators.ranges import (
@@ -19,6 +19,7 @@ from firmlens.operators.ranges import (
     running_totals,
     stack_with_starts,
     with_bucket,
+    with_next,
 )
 from firmlens.operators.splits import window_starts
 from firmlens.session import stored
@@ -102,12 +103,46 @@ def threshold_points(cells: DataFrame, keys: list[str], cuts: list[float]) -> Da
     return as_points(running_totals(ranged, keys, "score", SUMS, descending=True), keys)
 
 
-def roc_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:
-    """(keys, threshold, fpr, tpr), one point per distinct score; the (0, 0) start is implied."""
+def _share(part: str, whole: str) -> Column:
+    return F.when(F.col(whole) > 0, F.col(part) / F.col(whole))
+
+
+def roc_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None, drop_collinear: bool = False) -> DataFrame:
+    """(keys, threshold, fpr, tpr), one point per distinct score; the (0, 0) start is implied.
+
+    ``drop_collinear`` leaves out points at which the curve goes on exactly as it came: a point stays if it is the first or last
+    of its group, or if the next score adds other counts than its own did.
+    """
     cells, cuts = counts_and_cuts(df, keys, label, score, cuts)
-    points = threshold_points(cells, keys, cuts)
-    share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
-    return points.select(*keys, F.col("score").alias("threshold"), share("cfp", "n_neg").alias("fpr"), share("ctp", "n_pos").alias("tpr"))
+    if drop_collinear:
+        ranged = with_next(with_bucket(cells, "score", cuts).select(*keys, BUCKET, "score", *SUMS), keys, "score", SUMS, descending=True)
+        placed = running_totals(ranged, keys, "score", SUMS, descending=True)
+        first = (F.col("before_npos") == 0) & (F.col("before_nneg") == 0)
+        turns = (F.col("npos") != F.col("next_npos")) | (F.col("nneg") != F.col("next_nneg"))
+        points = as_points(placed.where(first | F.col("next_npos").isNull() | turns), keys)
+    else:
+        points = threshold_points(cells, keys, cuts)
+    return points.select(*keys, F.col("score").alias("threshold"), _share("cfp", "n_neg").alias("fpr"), _share("ctp", "n_pos").alias("tpr"))
+
+
+def roc_curves_of_two(df: DataFrame, keys: list[str], model: str, current: str, reference: str, label: str, score: str) -> DataFrame:
+    """(keys, threshold, fpr_current, tpr_current, fpr_reference, tpr_reference) at every score of either model.
+
+    Where a model has no score of its own its last point holds. Both models' counts lie in one cell per (keys, score), so
+    running totals over the common axis carry them there, range by range. A model without rows of a class has NULL shares.
+    """
+    sums = [f"{side}_{kind}" for side in ("cur", "ref") for kind in ("pos", "neg")]
+    known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score) & F.col(model).isin(current, reference))
+    hit = lambda name, positive: F.count_if((F.col(model) == name) & ((F.col(label) == 1) if positive else (F.col(label) != 1)))
+    counts = [hit(name, positive).alias(c) for c, (name, positive) in zip(sums, [(current, True), (current, False), (reference, True), (reference, False)])]
+    cells = stored(known.groupBy(*keys, F.col(score).alias("score")).agg(*counts), "two_models")
+    ranged = with_bucket(cells, "score", quantile_cuts(cells, "score")).select(*keys, BUCKET, "score", *sums)
+    placed = running_totals(ranged, keys, "score", sums, descending=True)
+    share = lambda c: F.when(F.col(f"all_{c}") > 0, (F.col(f"before_{c}") + F.col(c)) / F.col(f"all_{c}"))
+    return placed.select(
+        *keys, F.col("score").alias("threshold"), share("cur_neg").alias("fpr_current"), share("cur_pos").alias("tpr_current"),
+        share("ref_neg").alias("fpr_reference"), share("ref_pos").alias("tpr_reference"),
+    )
 
 
 def pr_curve(df: DataFrame, keys: list[str], label: str, score: str, cuts: list[float] | None = None) -> DataFrame:

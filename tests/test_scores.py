@@ -96,3 +96,52 @@ def test_registry_names(spark):
     df = spark.createDataFrame([(1, 0, 0, [0.7, 0.2, 0.1]), (1, 1, 0, [0.5, 0.4, 0.1]), (1, 2, 2, [0.1, 0.1, 0.8])], "k int, y int, yhat int, p array<double>")
     for name in metrics.REGISTRY:
         assert metrics.measure(name, df, ["k"]).count() >= 1
+
+
+def _curve(rows):
+    """(threshold, fps, tps) by definition, from the highest score down."""
+    out = []
+    for cut in sorted({s for _, s in rows}, reverse=True):
+        called = [y for y, s in rows if s >= cut]
+        out.append((cut, sum(y != 1 for y in called), sum(y == 1 for y in called)))
+    return out
+
+
+@pytest.mark.parametrize("cuts", [[], [0.5], [0.05 * k for k in range(1, 20)], [0.1, 0.1001, 0.6]])
+def test_curve_without_collinear_points(spark, cuts):
+    rng = random.Random(len(cuts))
+    groups = {
+        "mixed": [(rng.randrange(2), round(rng.random(), 1 + rng.randrange(2))) for _ in range(200)],
+        "hot": [(k % 2, 0.5) for k in range(300)] + [(1, 0.1), (0, 0.9)],
+        "even": [(y, s / 20) for s in range(20) for y in (0, 1)],  # one straight line
+        "positive": [(1, s / 10) for s in (1, 2, 3, 3, 5)], "single": [(0, 0.3)],
+    }
+    df = spark.createDataFrame([(g, y, s) for g, rows in groups.items() for y, s in rows], "g string, y int, s double")
+    got = {g: {} for g in groups}
+    for r in scores.roc_curve(df, ["g"], "y", "s", cuts=cuts, drop_collinear=True).collect():
+        got[r.g][r.threshold] = (r.fpr, r.tpr)
+    for g, rows in groups.items():
+        points = _curve(rows)
+        fps, tps = [p[1] for p in points], [p[2] for p in points]
+        kept = [i for i in range(len(points)) if i in (0, len(points) - 1) or fps[i + 1] - 2 * fps[i] + fps[i - 1] or tps[i + 1] - 2 * tps[i] + tps[i - 1]]
+        share = lambda a, b: a / b if b else None
+        assert got[g] == {points[i][0]: (share(fps[i], fps[-1]), share(tps[i], tps[-1])) for i in kept}, g
+
+
+def test_both_curves_on_one_axis(spark):
+    rng = random.Random(8)
+    rows = [(g, m, rng.randrange(2) if g != 2 else 0, round(rng.random(), 2)) for g in (1, 2) for m in ("a", "b", "c") for _ in range(60)]
+    rows += [(3, "a", 1, 0.5), (3, "a", 0, 0.4), (1, "a", 1, None), (1, "b", None, 0.123), (1, "a", 0, float("nan"))]
+    df = spark.createDataFrame(rows, "g int, m string, y int, s double")
+    got = {(r.g, r.threshold): r[2:] for r in scores.roc_curves_of_two(df, ["g"], "m", "a", "b", "y", "s").collect()}
+    want = {}
+    for g in (1, 2, 3):
+        known = {m: [(y, s) for h, n, y, s in rows if (h, n) == (g, m) and y is not None and s is not None and s == s] for m in "ab"}
+        for cut in {s for v in known.values() for _, s in v}:
+            point = []
+            for m in "ab":
+                for label in (0, 1):
+                    of = [s for y, s in known[m] if y == label]
+                    point.append(sum(s >= cut for s in of) / len(of) if of else None)
+            want[g, cut] = tuple(point)
+    assert got == want
