@@ -5,10 +5,12 @@ from math import factorial
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from firmlens.catalog import models
 from firmlens.operators import splits
+from firmlens.operators.scores import ranking_measures
 from firmlens.plans import backtest, learn, registry, tree_attribution
 from firmlens.session import scratch_path, stored
 from firmlens.sources import sinks
@@ -88,7 +90,7 @@ def test_tree_attribution_matches_definition(spark, table):
             total += v
         return total
 
-    got = tree_attribution.shapley_of_batch(x, leaves)
+    got = tree_attribution.shapley_of_batch(x, tree_attribution.leaf_tables(leaves))
     for i, row in enumerate(x):
         for j in range(3):
             others = [k for k in range(3) if k != j]
@@ -103,6 +105,57 @@ def test_tree_attribution_matches_definition(spark, table):
     assert max(out, key=lambda r: r.importance).feature == "a"
 
 
+def test_attribution_of_windows_adds_up_months(spark, table):
+    model = learn.fit(table, FEATURES, learn.Learner("boosted", n_estimators=2, max_depth=3, min_child_samples=1))
+    linear = learn.fit(table, FEATURES, learn.Learner("linear", n_estimators=2))
+    fit, windows = date(2000, 3, 1), [date(2000, 3, 1), date(2000, 5, 1)]
+    for one in (model, linear):
+        got = {(r.window, r.feature): (r.importance, r.n_rows) for r in tree_attribution.attribution_by_window([((fit,), one)], table, FEATURES, 3, windows={fit: windows}).collect()}
+        for w in windows:
+            rows = table.where((F.col("ym") >= F.lit(w)) & (F.col("ym") < F.add_months(F.lit(w), 3)))
+            whole = tree_attribution.tree_attribution if one is model else tree_attribution.logistic_attribution
+            for r in whole(one, rows.withColumn("w", F.lit(1)), FEATURES, ["w"]).collect():
+                assert abs(got[w, r.feature][0] - r.importance) < 1e-9 and got[w, r.feature][1] == rows.count()
+
+
+def test_staged_fits_equal_single_fits(spark, table):
+    base = learn.Learner("boosted", max_depth=3, min_child_samples=1, learning_rate=0.3)
+    rows = table.withColumn("held", F.col("b") > 0.7)
+    for flag in (None, "held"):
+        staged = learn.fit_staged(rows, FEATURES, base, [1, 3, 5], validation=flag)
+        for n, model in staged.items():
+            single = learn.fit(rows, FEATURES, learn.replace(base, n_estimators=n), validation=flag)
+            assert [len(m.treeWeights) for m in model.stages[2:]] == [len(m.treeWeights) for m in single.stages[2:]]
+            a, b = ([tuple(r.p) for r in learn.score(m, table).orderBy("ym", *FEATURES).select("p").collect()] for m in (model, single))
+            assert np.allclose(a, b, atol=1e-12)
+
+
+def test_stopping_point():
+    assert learn.stopping_point([1.0, 0.9, 0.8], 3) == 3 and learn.stopping_point([1.0, 0.9, 0.8], 2) == 2
+    assert learn.stopping_point([1.0, 0.9, 0.95, 0.1], 4) == 2 and learn.stopping_point([1.0, 0.999], 2) == 1 and learn.stopping_point([0.5], 1) == 1
+
+
+def test_grid_losses_equal_single_fits(spark, table):
+    blocks = splits.expanding_blocks(table, 2)
+    grid = {"learning_rate": [0.3], "max_depth": [2, 3], "n_estimators": [1, 4]}
+    base = learn.Learner("boosted", min_child_samples=1)
+    for r in learn.grid_search(blocks, FEATURES, grid, 2, base).collect():
+        alone = learn.grid_search(blocks, FEATURES, {k: [v] for k, v in learn.json.loads(r.settings).items()}, 2, base).first()
+        assert alone.settings == r.settings and abs(alone.mean_loss - r.mean_loss) < 1e-12
+
+
+def test_coded_covariates_lose_little(spark, table):
+    coded = learn.coded_table(table, FEATURES, ["ym", "Y"])
+    codes = coded.select(F.explode(vector_to_array(F.col(learn.CODES))).alias("c")).distinct()
+    assert {r.c for r in codes.collect()} <= {float(k) for k in range(65)}
+    learner = learn.Learner("boosted", n_estimators=3, max_depth=3, min_child_samples=5)
+    auc = []
+    for rows in (table, coded):
+        scored = learn.with_predictions(learn.score(learn.fit(rows, FEATURES, learner), rows)).where("y != 2").withColumn("g", F.lit(1))
+        auc.append(ranking_measures(scored, ["g"], "y", "p1").first().auc)
+    assert abs(auc[0] - auc[1]) < 0.01
+
+
 def test_registry_versions(spark, table):
     root = scratch_path(spark, "registry")
     model = learn.fit(table, FEATURES, learn.Learner("linear", n_estimators=2))
@@ -265,18 +318,22 @@ def test_missing_inputs(spark):
 
 
 def test_searches_of_the_catalog_fit_boosted_learners_that_stop_early(spark, table, monkeypatch):
-    blocks, fits = splits.expanding_blocks(table, 5), []
+    blocks, fits, trials = splits.expanding_blocks(table, 5), [], []
     cheap = learn.fit(table, FEATURES, learn.Learner("linear", n_estimators=1))
 
+    def staged(train, features, learner, counts, label, weight, validation):
+        fits.append((learner, tuple(counts), validation))
+        return {n: cheap for n in counts}
+
     def seen(train, features, learner, *args, **kwargs):
-        fits.append((learner, kwargs.get("validation")))
+        trials.append((learner, kwargs.get("validation")))
         return cheap
 
+    monkeypatch.setattr(learn, "fit_staged", staged)
     monkeypatch.setattr(learn, "fit", seen)
     monkeypatch.setattr(models, "_blocks", lambda *args: blocks)
-    models.ml_grid_search(spark, "")
-    grid = set(fits)
-    assert len(grid) == 12 and {(learner.kind, flag) for learner, flag in grid} == {("boosted", "held_out")}
-    fits.clear()
+    monkeypatch.setattr(learn, "coded_table", lambda df, *args: df)
+    assert models.ml_grid_search(spark, "").count() == 24
+    assert len(set(fits)) == 6 and {(learner.kind, counts, flag) for learner, counts, flag in fits} == {("boosted", (2, 3), "held_out")}
     models.ml_random_search(spark, "")
-    assert fits and {(learner.kind, flag) for learner, flag in fits} == {("boosted", "held_out")}
+    assert len({learner for learner, _ in trials}) == 25 and {(learner.kind, flag) for learner, flag in trials} == {("boosted", "held_out")}
