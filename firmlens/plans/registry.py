@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +19,43 @@ def latest_versions(registry: DataFrame) -> DataFrame:
     return registry.groupBy("name").agg(F.max("version").alias("version"), F.max_by("path", "version").alias("path"))
 
 
+def _claimed(spark: SparkSession, path: str) -> bool:
+    """Creates a file that must not exist yet; whether this call made it. Exactly one of several callers gets True."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    system = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    local = system.getScheme() == "file"
+    try:
+        system.mkdirs(file.getParent())
+        if local:  # the local file system of the library looks before it creates; this call does both at once
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(file.toUri().getPath()).toPath(), spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
+        else:
+            system.create(file, False).close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def claim_version(spark: SparkSession, root: str, name: str) -> int:
+    """The next free version of ``name``, for this caller alone; one that is claimed and never recorded stays unused."""
+    known = read_if_exists(spark, f"{root}/registry")
+    last = None if known is None else known.where(F.col("name") == name).agg(F.max("version")).first()[0]
+    version = (last or 0) + 1
+    while not _claimed(spark, f"{root}/claims/{name}/{version}"):
+        version += 1
+    return version
+
+
 def register_model(spark: SparkSession, root: str, name: str, model: PipelineModel, train_date: date,
                    metrics: dict[str, float | None]) -> int:
-    """Saves the model as the next version of ``name`` and records it; returns the version."""
+    """Claims the next version of ``name``, saves the model under it and records it; returns the version.
+
+    Any number of writers may register at once: a version belongs to the one that created its claim.
+    """
     table = f"{root}/registry"
-    known = read_if_exists(spark, table)
-    last = None if known is None else known.where(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = (last or 0) + 1
+    version = claim_version(spark, root, name)
     path = f"{root}/models/{name}/{version}"
     model.write().save(path)
     append(spark.createDataFrame([(name, version, path, train_date, metrics)], SCHEMA), table)

@@ -168,6 +168,17 @@ def test_registry_versions(spark, table):
         registry.load_latest(spark, root, "other")
 
 
+def test_eight_registrations_at_once(spark, table):
+    root = scratch_path(spark, "registry")
+    model = learn.fit(table, FEATURES, learn.Learner("linear", n_estimators=1))
+    registry.register_model(spark, root, "m", model, date(2024, 1, 1), {"auc": 0.5})
+    versions = learn.in_parallel(spark, [lambda k=k: registry.register_model(spark, root, "m", model, date(2024, 1, 1 + k), {"auc": k / 10}) for k in range(7)], 7)
+    assert sorted(versions) == list(range(2, 9))
+    rows = spark.read.parquet(f"{root}/registry").collect()
+    assert sorted(r.version for r in rows) == list(range(1, 9)) and len({r.path for r in rows}) == 8
+    assert registry.claim_version(spark, root, "m") == 9 and registry.claim_version(spark, root, "m") == 10  # never handed out twice
+
+
 def test_append_replay_equals_batch(spark):
     drops, table = (scratch_path(spark, n) for n in ("drops", "table"))
     schema = "comp_id long, day int, v double, task_date string, econ int"
