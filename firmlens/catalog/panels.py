@@ -9,7 +9,9 @@ from firmlens.catalog.registry import query
 from firmlens.functions import columns as c
 from firmlens.functions.constants import COVARIATES, UNUSABLE_LABEL
 from firmlens.operators import aggregates, attribution, joins, labels, prep
+from firmlens.operators.ranges import exact_quantiles
 from firmlens.plans import learn
+from firmlens.session import stored
 from firmlens.sources import roles
 
 P = f"WITH {roles.PANEL_SQL} "
@@ -383,6 +385,29 @@ def agg_data_profile(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.data_profile(df, ["part"], ["sizelevel", "sizetrend", "liqfinlevel", "m2b"])
 
 
+_PROFILED = ["sizelevel", "sizetrend", "liqfinlevel", "m2b"]
+
+
+@query("agg_profile_merged", "part column n:i missing:i mean:r std:r min:r max:r quartiles_close:i distinct_close:i", P + """, long AS (""" + " UNION ALL ".join(
+    f"SELECT CASE WHEN year <= 1999 THEN 'train' ELSE 'test' END AS part, '{n}' AS \"column\", CAST({n} AS DOUBLE) AS x FROM panel" for n in _PROFILED) + """)
+SELECT part, "column", count(x) AS n, count(*) - count(x) AS missing, avg(x) AS mean, stddev_samp(x) AS std, min(x) AS min, max(x) AS max,
+  true AS quartiles_close, true AS distinct_close FROM long GROUP BY ALL""")
+def agg_profile_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile of both parts from sketches per economy and month, held against the exact one."""
+    df = roles.panel(spark, folder)
+    part = F.when(F.year("ym") <= 1999, "train").otherwise("test")
+    merged = aggregates.merged_profile(stored(aggregates.profile_parts(df, ["econ", "ym"], _PROFILED)).withColumn("part", part), ["part"])
+    wide = merged.groupBy("part", "column").pivot("stat", ["count", "missing", "distinct", "mean", "std", "min", "q25", "q50", "q75", "max"]).agg(F.first("value"))
+    long = df.select(part.alias("part"), *_PROFILED).unpivot(["part"], _PROFILED, "column", "x")
+    around = {f"{side}{q}": q / 100 + shift for q in (25, 50, 75) for side, shift in (("lo", -0.01), ("hi", 0.01))}
+    exact = exact_quantiles(long, ["part", "column"], "x", around, distinct="values")
+    close = F.col("q25").between(F.col("lo25"), F.col("hi25")) & F.col("q50").between(F.col("lo50"), F.col("hi50")) & F.col("q75").between(F.col("lo75"), F.col("hi75"))
+    return wide.join(exact, ["part", "column"]).select(
+        "part", "column", F.col("count").alias("n"), "missing", "mean", "std", "min", "max",
+        close.alias("quartiles_close"), (F.abs(F.col("distinct") - F.col("values")) <= 0.025 * F.col("values")).alias("distinct_close"),
+    )
+
+
 # Sorts and top-k ---------------------------------------------------------------------------------
 
 

@@ -114,3 +114,43 @@ def data_profile(df: DataFrame, keys: list[str], columns: list[str], exact: bool
         stats = long.groupBy(*by).agg(*simple, F.approx_count_distinct("x", 0.01).cast("double").alias("distinct"), *sketches)
     names = ["count", "missing", "distinct", "mean", "std", "min", "q25", "q50", "q75", "max"]
     return stats.fillna(0.0, subset=["distinct"]).unpivot(by, names, "stat", "value")
+
+
+def profile_parts(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """One row per (keys, column) of what a profile of any union of groups can be merged from; keep it as a table.
+
+    Counts, sums of squares around the group's mean, extremes, a KLL sketch of the values and an HLL sketch of the
+    distinct ones: a few kilobytes per group, whatever its size. Rows are reduced in their tasks before any shuffle.
+    """
+    long = df.select(*keys, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]).unpivot(keys, columns, "column", "x")
+    return long.groupBy(*keys, "column").agg(
+        F.count("x").alias("n"), F.count_if(F.col("x").isNull()).alias("missing"), F.avg("x").alias("mean"), F.var_pop("x").alias("variance"),
+        F.min("x").alias("min"), F.max("x").alias("max"), F.kll_sketch_agg_double("x", 400).alias("values"), F.hll_sketch_agg(F.col("x").cast("string"), 14).alias("distinct"),
+    )
+
+
+def merged_profile(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """``data_profile`` of the groups ``keys`` from stored ``profile_parts`` of smaller ones; no row is read again.
+
+    Count, missing, mean, std, min and max are exact. Quartiles lie within 1 % in rank and distinct counts within 2.5 %, the
+    errors of the sketches at three standard deviations.
+    """
+    by = [*keys, "column"]
+    group = Window.partitionBy(*by)
+    centre = F.sum(F.col("n") * F.col("mean")).over(group) / F.sum("n").over(group)
+    spread = F.col("n") * (F.col("variance") + (F.col("mean") - F.col("centre")) ** 2)
+    filled = F.col("n") > 0  # a group without values has empty sketches
+    merged = parts.withColumn("centre", centre).groupBy(*by).agg(
+        F.sum("n").cast("double").alias("count"), F.sum("missing").cast("double").alias("missing"), F.max("centre").alias("mean"), F.sum(spread).alias("squares"),
+        F.min("min").alias("min"), F.max("max").alias("max"),
+        F.kll_merge_agg_double(F.when(filled, F.col("values"))).alias("values"), F.hll_union_agg(F.when(filled, F.col("distinct"))).alias("distinct"),
+    )
+    some = F.col("count") > 0
+    quartile = lambda q: F.when(some, F.kll_sketch_get_quantile_double("values", F.lit(q)))
+    stats = merged.select(
+        *by, "count", "missing", F.when(some, F.hll_sketch_estimate("distinct")).otherwise(0).cast("double").alias("distinct"), "mean",
+        F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std"), "min",
+        quartile(0.25).alias("q25"), quartile(0.5).alias("q50"), quartile(0.75).alias("q75"), "max",
+    )
+    names = ["count", "missing", "distinct", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    return stats.unpivot(by, names, "stat", "value")

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from firmlens.operators import metrics, scores
+from firmlens.operators import aggregates, metrics, scores
 from firmlens.operators.ranges import quantile_cuts
 from tests.helpers import brute_auc, brute_pr_auc, close
 
@@ -145,3 +145,29 @@ def test_both_curves_on_one_axis(spark):
                     point.append(sum(s >= cut for s in of) / len(of) if of else None)
             want[g, cut] = tuple(point)
     assert got == want
+
+
+def test_merged_profile_of_sketches(spark):
+    rng = random.Random(4)
+    rows = [(g, m, rng.choice([None, float("nan"), rng.gauss(0, 5), float(rng.randrange(50))])) for g in "ab" for m in range(12) for _ in range(400)]
+    rows += [("c", 0, None), ("c", 1, None), ("d", 0, 2.5)]
+    df = spark.createDataFrame(rows, "g string, m int, x double")
+    parts = aggregates.profile_parts(df, ["g", "m"], ["x"])
+    assert parts.count() == 27
+    got = {}
+    for r in aggregates.merged_profile(parts, ["g"]).collect():
+        got.setdefault(r.g, {})[r.stat] = r.value
+    for g in "abcd":
+        values = sorted(x for h, _, x in rows if h == g and x is not None and x == x)
+        mine, n = got[g], len(values)
+        assert (mine["count"], mine["missing"]) == (n, sum(h == g for h, _, _ in rows) - n)
+        if not n:
+            assert mine["q50"] is None and mine["distinct"] == 0 and mine["mean"] is None
+            continue
+        mean = sum(values) / n
+        assert abs(mine["mean"] - mean) < 1e-9 and (mine["min"], mine["max"]) == (values[0], values[-1])
+        assert mine["std"] is None if n == 1 else abs(mine["std"] - (sum((v - mean) ** 2 for v in values) / (n - 1)) ** 0.5) < 1e-9
+        assert abs(mine["distinct"] - len(set(values))) <= 0.025 * len(set(values))
+        for q in (0.25, 0.5, 0.75):
+            estimate = mine[f"q{round(100 * q)}"]
+            assert sum(v < estimate for v in values) / n - 0.01 <= q <= sum(v <= estimate for v in values) / n + 0.01 or n == 1
