@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlens.llm.running import range_parts, running_starts
@@ -36,7 +36,16 @@ def _capped_targets(totals: DataFrame, weights: Sequence[float], max_epochs: int
     return shares.withColumn("target", F.least("limit", F.coalesce(F.col("weight") * F.col("level"), F.col("limit"))))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_epochs: int = 3, seed: str = "mix", keep: Sequence[str] = (), id_col: str = "doc_id") -> DataFrame:
+def order_in_source(id_col: str = "doc_id", seed: str = "mix") -> tuple[Column, Column]:
+    """The order of a source's documents: a hash of the id, then the text's checksum."""
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))), F.crc32(text)
+
+
+def mix(
+    docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_epochs: int = 3, seed: str = "mix", keep: Sequence[str] = (), id_col: str = "doc_id",
+    tie: Sequence[str] = (),
+) -> DataFrame:
     """One row per document: id, ``source``, ``size`` (words), ``source_size``, ``target``, ``epochs``, ``part``, ``taken``.
 
     Sources in code point order, NULL last, weigh ``weights`` in turn and share the sum of all sizes. A source takes each
@@ -44,18 +53,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_epochs: int =
     the order of a hash of their id and the running word count is cut at the budget, the rounded target. So every
     source takes exactly its budget, and ``taken = epochs * size + part`` is at most ``max_epochs`` sizes. The order is
     a function of id, text checksum and seed: reruns agree. A NULL text has size 0. ``keep`` names further columns of
-    ``docs`` to carry along. Texts are not shuffled unless they are named there.
+    ``docs`` to carry along; those in ``tie`` order rows of one id and text. Texts are read once and not shuffled unless they
+    are named there.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    slim = docs.select(
-        F.col(id_col), F.col("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))).alias("_key"), F.crc32(text.cast("binary")).alias("_crc"), *keep,
-    )
-    parted = range_parts(slim, ["source", "_key", "_crc"])
+    key, crc = order_in_source(id_col, seed)
+    words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
+    slim = stored(docs.select(F.col(id_col), F.col("source"), words.alias("size"), key.alias("_key"), crc.alias("_crc"), *keep), "sizes")
+    order = ["_key", "_crc", *tie]
+    parted = range_parts(slim, ["source", *order])
     totals = stored(parted.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     targets = stored(_capped_targets(totals, weights, max_epochs).select(F.col("source").alias("_source"), "source_size", "target"), "targets")
     budget = F.floor(F.col("target") + 0.5).cast("long")
-    placed = running_starts(parted, ["_key", "_crc"], {"_start": "size"}, ["source"])
+    placed = running_starts(parted, order, {"_start": "size"}, ["source"])
     placed = placed.join(targets, F.col("source").eqNullSafe(F.col("_source")))
     placed = placed.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long"))
     rest = budget - F.col("epochs") * F.col("source_size") - F.col("_start")
