@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -18,7 +19,22 @@ from firmlens.session import scratch_path, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOKENIZER, CAPACITY, END_ID = "byte_bpe_50k.json", 1024, 2
-BROADCAST_IDS = 1 << 20  # ids (8 bytes each) up to this number are broadcast, more are joined by shuffle
+BROADCAST_IDS = 1 << 18  # names of rows (40 bytes each) up to this number are broadcast, more are joined by shuffle
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """``COLUMNS`` with ``_name``, by which a row is found again: its file (a hash of the path) and its place in it.
+
+    A table of files is not copied for that. A numbering by partitions would not do, as a lost executor changes how files are cut.
+    Anything but a table of files is written first.
+    """
+    name = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("_name")
+    if docs._jdf.queryExecution().analyzed().children().isEmpty():
+        try:
+            return docs.select(*COLUMNS, name)
+        except AnalysisException:
+            pass  # a leaf without files: rows in memory
+    return stored(docs.select(*COLUMNS), "rows").select(*COLUMNS, name)
 
 
 def _names(df: DataFrame, label: str) -> DataFrame:
@@ -43,7 +59,7 @@ def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Of a group the document with the smallest id stays, one without an id only if none has one. Documents without words are in
     no group and stay. Every row is a document of its own, also if it has no id or repeats one.
     """
-    rows = stored(docs.select(*COLUMNS).withColumn("_name", F.monotonically_increasing_id()), "rows")
+    rows = _named(docs)
     groups = stored(jaccard.similar_groups(rows, 5, 80, "_name").select("_name", "component_id"), "groups")
     # The first of a group is found by its key, and the others by not being one: no join on the key of a large group.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_name")
@@ -75,14 +91,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     budget of words. Sources weigh 1, 2, 3, repeating, and take at most three epochs. Documents without words are
     taken with every full epoch of their source.
     """
-    rows = stored(docs.select(*COLUMNS).withColumn("_doc", F.monotonically_increasing_id()), "rows")
-    mixed = mixing.mix(rows, keep=["_doc"]).select("_doc", "size", "epochs", "part")
-    whole = F.col("epochs") + F.when((F.col("part") == F.col("size")) & (F.col("size") > 0), 1).otherwise(0)
-    some = (F.col("part") > 0) & (F.col("part") < F.col("size"))
-    taken = stored(mixed.select("_doc", whole.cast("int").alias("copies"), F.when(some, F.col("part")).alias("part")).where("copies > 0 OR part IS NOT NULL"), "taken")
-    copies = rows.join(taken.where("copies > 0").select("_doc", F.explode(F.sequence(F.lit(1), "copies"))), "_doc").select(*COLUMNS)
-    ends = F.broadcast(taken.where("part IS NOT NULL").select("_doc", "part"))  # one row per source
-    cut = rows.join(ends, "_doc").withColumn("text", first_words("text", "part")).withColumn("n_chars", F.length("text").cast("long"))
+    # A source's order has one border: what lies before it is taken once more than what lies behind it. Rows are held against the
+    # border of their source, so that texts are neither shuffled nor copied.
+    rows = _named(docs).withColumn("_place", F.struct(*mixing.order_in_source(), "_name"))
+    mixed = mixing.mix(rows, keep=["_name", "_place"], tie=["_name"])
+    last = F.max(F.when(F.col("part") > 0, F.struct("_place", "part", "size")))
+    borders = mixed.groupBy("source").agg(F.max("epochs").alias("_epochs"), last.alias("_last")).withColumnRenamed("source", "_source")
+    placed = rows.join(stored(borders, "borders"), F.col("source").eqNullSafe(F.col("_source")))
+    at_border = F.col("_place") == F.col("_last._place")
+    in_full = (F.col("_place") < F.col("_last._place")) | (at_border & (F.col("_last.part") == F.col("_last.size")))
+    once_more = F.when(in_full & F.regexp_like(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)), 1).otherwise(0)
+    copies = placed.withColumn("_copies", (F.col("_epochs") + once_more).cast("int")).where("_copies > 0")
+    copies = copies.select(*COLUMNS, F.explode(F.sequence(F.lit(1), "_copies"))).select(*COLUMNS)
+    cut = placed.where(at_border & (F.col("_last.part") < F.col("_last.size"))).select(*COLUMNS, F.col("_last.part").alias("_part"))
+    cut = cut.withColumn("text", first_words("text", "_part")).withColumn("n_chars", F.length("text").cast("long"))
     return copies.unionByName(cut.select(*COLUMNS))
 
 
