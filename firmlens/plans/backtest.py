@@ -125,7 +125,8 @@ def fitted_backtest(
 ) -> tuple[DataFrame, list[tuple]]:
     """Backtest table of every ``step_months``-th window start, the model refitted every ``refit_every`` months (per group of ``keys``).
 
-    The guards of all windows and groups are decided before any fit, by one aggregation over (keys, month,
+    ``train_size`` counts what lies before a window; ``fit`` is the month up to which the window's model has seen rows and
+    ``fitted_rows`` their number, both NULL for windows that no model scores. The guards of all windows and groups are decided before any fit, by one aggregation over (keys, month,
     class); the measures of all windows and groups come from one job over the stored predictions.
     """
     keys = list(keys)
@@ -140,7 +141,12 @@ def fitted_backtest(
         ranking = sizes.select(*keys, "window", none.alias("auc"), none.alias("pr_auc")).limit(0)
     else:
         ranking = ranking_measures(predictions.where(F.col("y") != EXIT), [*keys, "window"], "y", "p1")
-    return backtest_table(sizes, ranking, keys), models
+    # One row per scored window, as above.
+    fits = [(*unit[:-1], window, unit[-1]) for unit, windows in refit_units(units, refit_every).items() for window in windows]
+    schema = ", ".join([*(f"`{k}` {table.schema[k].dataType.simpleString()}" for k in keys), "date date, fit date"])
+    seen = sizes.select(*keys, F.col("window").alias("fit"), F.col("train_n_rows").alias("fitted_rows"))
+    fitted = table.sparkSession.createDataFrame(fits, schema).join(seen, [*keys, "fit"])
+    return backtest_table(sizes, ranking, keys).join(fitted, [*keys, "date"], "left"), models
 
 
 def backtest_economies(
