@@ -348,3 +348,28 @@ def test_searches_of_the_catalog_fit_boosted_learners_that_stop_early(spark, tab
     assert len(set(fits)) == 6 and {(learner.kind, counts, flag) for learner, counts, flag in fits} == {("boosted", (2, 3), "held_out")}
     models.ml_random_search(spark, "")
     assert len({learner for learner, _ in trials}) == 25 and {(learner.kind, flag) for learner, flag in trials} == {("boosted", "held_out")}
+
+
+def test_searches_keep_the_rows_of_a_fold_once(spark, table, monkeypatch):
+    blocks = splits.expanding_blocks(table, 2)
+    coded = learn.coded_table(blocks, FEATURES, ["block", "Y"])
+    kept, persist = [], type(blocks).persist
+    monkeypatch.setattr(type(blocks), "persist", lambda df, *args: kept.append(df.columns) or persist(df, *args))
+    base = learn.Learner("boosted", n_estimators=2, max_depth=2, min_child_samples=1)
+    found = learn.random_search(coded, FEATURES, trials=3, n_splits=2, base=base).collect()
+    assert len(kept) == 2 and len(found) == 3 and all(r.max_auc > 0.5 for r in found)
+    kept.clear()
+    assert learn.grid_search(blocks, FEATURES, {"max_depth": [1, 2, 3]}, 2, base).count() == 3
+    assert len(kept) == 2
+
+
+def test_measures_of_trials_equal_those_of_single_fits(spark, table):
+    blocks = learn.coded_table(splits.expanding_blocks(table, 2), FEATURES, ["block", "Y"])
+    base = learn.Learner("boosted", n_estimators=2)
+    best = learn.random_search(blocks, FEATURES, trials=1, n_splits=2, base=base).first()
+    auc, learner = [], learn.learner_from(best.settings, base)
+    for fold in (1, 2):
+        model = learn.fit(blocks.where(F.col("block") <= fold).withColumn("held", F.col("block") == fold), FEATURES, learner, validation="held")
+        scored = learn.with_predictions(learn.score(model, blocks.where((F.col("block") == fold) & (F.col("Y") != 2)))).withColumn("g", F.lit(1))
+        auc.append(ranking_measures(scored, ["g"], "y", "p1").first().auc)
+    assert abs(best.max_auc - max(auc)) < 1e-12
