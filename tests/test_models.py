@@ -373,3 +373,26 @@ def test_measures_of_trials_equal_those_of_single_fits(spark, table):
         scored = learn.with_predictions(learn.score(model, blocks.where((F.col("block") == fold) & (F.col("Y") != 2)))).withColumn("g", F.lit(1))
         auc.append(ranking_measures(scored, ["g"], "y", "p1").first().auc)
     assert abs(best.max_auc - max(auc)) < 1e-12
+
+
+def test_rows_are_stored_once_per_fit_and_repeated_over_windows_when_read(spark, table):
+    path, learner = scratch_path(spark, "once"), learn.Learner("linear", n_estimators=2)
+    units = [(date(2000, m, 1),) for m in (7, 8, 9, 11)]
+    predictions, _ = backtest.fitted_predictions(table, FEATURES, units, 3, learner, path=path, refit_every=3)
+    spans = {date(2000, 7, 1): (7, 11), date(2000, 11, 1): (11, 13)}  # months of the rows that a fit's windows hold
+    months = [r.ym for r in table.select("ym").collect()]
+    at = lambda d: (d.year - 2000) * 12 + d.month
+    assert spark.read.parquet(path).count() == sum(a <= at(m) <= b for m in months for a, b in spans.values())
+    seen = {(r["window"], r["fit"]): r["count"] for r in predictions.groupBy("window", "fit").count().collect()}
+    fit_of = {7: 7, 8: 7, 9: 7, 11: 11}
+    assert seen == {(u, date(2000, fit_of[u.month], 1)): sum(at(u) <= at(m) < at(u) + 3 for m in months) for u, in units}
+
+
+def test_measures_of_windows_equal_those_of_repeated_rows(spark, table):
+    rows, learner = stored(table.withColumn("econ", F.col("firm").cast("int") % 2)), learn.Learner("linear", n_estimators=3)
+    got, models = backtest.fitted_backtest(rows, FEATURES, date(2000, 7, 1), date(2001, 6, 1), 4, learner, ["econ"], refit_every=5)
+    units = [(r.econ, r.date) for r in got.where("fit IS NOT NULL").collect()]
+    repeated, _ = backtest.fitted_predictions(rows, FEATURES, units, 4, learner, ["econ"], refit_every=5)
+    want = {(r["econ"], r["window"]): (r.auc, r.pr_auc) for r in ranking_measures(repeated.where("y != 2"), ["econ", "window"], "y", "p1").collect()}
+    rows = {(r.econ, r.date): (r.auc_score, r.pr_auc) for r in got.collect()}
+    assert len(models) > 2 and len(rows) == len(want) and all(np.allclose(rows[k], want[k], atol=1e-12) for k in want)
