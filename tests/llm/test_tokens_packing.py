@@ -148,3 +148,8 @@ def test_id_files(spark, library, monkeypatch, chunk):
 
 def test_no_documents_no_ids(spark):
     assert planes.read_ids(spark, planes.write_ids(_docs(spark, []), scratch_path(spark, "ids"), PATH, 0)).count() == 0
+
+
+def test_a_small_memory_gives_the_same_pieces(spark):
+    rows = [[sorted(map(tuple, tokens.token_pieces(_docs(spark, ODD), PATH, 64, 2, memo=n).collect()))] for n in (1, tokens.MEMO)]
+    assert rows[0] == rows[1] and tokens.PieceEncoder(PATH, 7).memo.entries == 7
