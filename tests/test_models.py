@@ -396,3 +396,17 @@ def test_measures_of_windows_equal_those_of_repeated_rows(spark, table):
     want = {(r["econ"], r["window"]): (r.auc, r.pr_auc) for r in ranking_measures(repeated.where("y != 2"), ["econ", "window"], "y", "p1").collect()}
     rows = {(r.econ, r.date): (r.auc_score, r.pr_auc) for r in got.collect()}
     assert len(models) > 2 and len(rows) == len(want) and all(np.allclose(rows[k], want[k], atol=1e-12) for k in want)
+
+
+def test_points_of_a_fit_lie_in_even_partitions(spark, table):
+    from firmlens.plans.learn import _even
+
+    lopsided = spark.range(20000).select("id", F.rand(1).alias("x")).coalesce(1)
+    sizes = [r["count"] for r in _even(lopsided).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 20000 and len(sizes) == 16 and max(sizes) < 2 * min(sizes)
+
+
+def test_scores_ask_each_model_once(spark, table):
+    model = learn.fit(table, FEATURES, learn.Learner("boosted", n_estimators=1, max_depth=1))
+    plan = learn.score(model, table).select("p")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("Project")[1].count("UDF(UDF(UDF(") == 3
