@@ -153,3 +153,29 @@ def test_no_documents_no_ids(spark):
 def test_a_small_memory_gives_the_same_pieces(spark):
     rows = [[sorted(map(tuple, tokens.token_pieces(_docs(spark, ODD), PATH, 64, 2, memo=n).collect()))] for n in (1, tokens.MEMO)]
     assert rows[0] == rows[1] and tokens.PieceEncoder(PATH, 7).memo.entries == 7
+
+
+def test_the_plane_splitter_splits_like_the_pattern():
+    import regex
+
+    pattern = regex.compile(tokens.BYTE_LEVEL_PATTERN)
+    plane = [chr(c) for c in range(tokens.PLANE) if not 0xD800 <= c < 0xE000]
+    for c in plane:
+        text = f"a{c}{c}b {c}1'{c}s {c}\n {c}"
+        assert tokens.plane_splitter().findall(text) == pattern.findall(text)
+    rng, common = random.Random(8), [*"  \n\t'''srevmtld09.,!aB_²½\x1c\x85\xa0"]
+    for _ in range(3000):
+        text = "".join(rng.choice(common if rng.random() < 0.7 else plane) for _ in range(rng.randint(0, 40)))
+        assert tokens.plane_splitter().findall(text) == pattern.findall(text)
+
+
+def test_pieces_that_are_remembered_run_no_python(library, monkeypatch):
+    enc, looked = tokens.PieceEncoder(PATH), []
+    monkeypatch.setattr(enc.memo, "ask", lambda key, ask=enc.memo.ask: looked.append(key) or ask(key))
+    texts = ["the cat, the dog and the cat 😀 again", "the cat and the dog"] * 3
+    got = [np.frombuffer(b, "<u4").tolist() for b in enc.encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(looked) == len(set(looked)) and set(looked) == set(enc.memo.young)
+    enc.memo.entries = 0  # what is used moves on to the younger generation without a question
+    assert enc.encode(texts[:1])[0] == np.array(got[0], "<u4").tobytes()
+    assert len(looked) == len(set(looked)) and enc.memo.old
