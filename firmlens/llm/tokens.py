@@ -163,6 +163,12 @@ def encoder(path: str, memo: int = MEMO) -> PieceEncoder:
     return PieceEncoder(path, memo)
 
 
+def give_back() -> None:
+    """A worker that served other stages gives back what they left."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def text_runs(texts: Iterable[str | None] | pa.Array) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of bounded size together, each with the place of its first; NULL becomes empty.
 
@@ -190,8 +196,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int | None,
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.collect()  # a worker that served other stages gives back what they left
-        pa.default_memory_pool().release_unused()
+        give_back()
         enc = encoder(path, memo)
         for batch in batches:
             keys = batch.column(0)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from firmlens.llm.tokens import give_back, text_runs
 from firmlens.session import stored
 
 WINDOW, STEP = 128, 96  # bytes of a window, and from one to the next
@@ -284,23 +285,26 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
 
     Every window of the whole text is compressed with the ordinary dictionary alone and with the toxic one beside
     it; the calibrated function of the differences is the score. No shuffle. NULL texts count as empty; repeated rows stay
-    repeated and get equal scores; an empty table gives no rows.
+    repeated and get equal scores; an empty table gives no rows. Texts go to Python once, and back only if they are kept.
     """
-    names = [f"_keep{i}" for i in range(len(keep or []))]
-    kept = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(n) for c, n in zip(keep or [], names)])
-    schema = kept.drop("_text").schema.add("_score", "double").add("_predicted", "integer")
+    names = {c: "_text" if c == text_col else f"_keep{i}" for i, c in enumerate(keep or [])}
+    others = [F.col(c).alias(n) for c, n in names.items() if c != text_col]
+    kept = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *others)
+    back = [k for k, c in enumerate(kept.columns) if c != "_text" or text_col in names]
+    schema = kept.select(*[kept.columns[k] for k in back]).schema.add("_score", "double").add("_predicted", "integer")
 
     def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         gains = Gains(model.ordinary, model.toxic)
         for batch in batches:
-            x = np.array([gains.features(t or "") for t in batch.column(1).to_pylist()]).reshape(batch.num_rows, -1)
-            value = np.zeros(0)
-            if batch.num_rows:
+            columns = [batch.column(k) for k in back]
+            for first, run in text_runs(batch.column(1)):
+                x = np.array([gains.features(t) for t in run])
                 # Summed row by row: a matrix product may round a row by its place in the batch.
                 lift = ((x - model.center) / model.scale * model.weights[1:]).sum(axis=1)
                 value = 1 / (1 + np.exp(-np.clip(model.weights[0] + lift, -30, 30)))
-            columns = [c for k, c in enumerate(batch.columns) if k != 1]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(value, pa.float64()), pa.array((value >= threshold).astype(np.int32))], names=schema.names)
+                slices = [c.slice(first, len(run)) for c in columns]
+                yield pa.RecordBatch.from_arrays([*slices, pa.array(value, pa.float64()), pa.array((value >= threshold).astype(np.int32))], names=schema.names)
 
     out = kept.mapInArrow(mark, schema)
-    return out.select(F.col("_id").alias(id_col), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"), *[F.col(n).alias(c) for c, n in zip(keep or [], names)])
+    return out.select(F.col("_id").alias(id_col), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"), *[F.col(n).alias(c) for c, n in names.items()])

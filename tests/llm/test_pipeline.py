@@ -126,3 +126,24 @@ def test_different_texts_of_one_id_stay(spark):
     docs = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     got = Counter((r.doc_id, r.text) for r in cp.one_per_group(spark, docs, "").collect())
     assert got == Counter([(1, text(0)), (5, text(1)), (5, text(2)), (7, text(3)), (3, text(4)), (None, None), (None, None), (None, "  "), (None, "  ")])
+
+
+def test_texts_go_to_python_once_and_in_small_batches(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    before = spark.conf.get(cp.BATCH_SETTING)
+    try:
+        kept = cp.drop_toxic(spark, docs, folder)
+        assert int(spark.conf.get(cp.BATCH_SETTING)) == cp.BATCH_ROWS
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        sent = [line for line in plan.splitlines() if "Project" in line and "AS _text" in line]
+        assert len(sent) == 1 and sent[0].count(" text#") == 1
+        spark.conf.set(cp.BATCH_SETTING, "7")
+        cp.pack_sequences(spark, docs, folder)
+        assert spark.conf.get(cp.BATCH_SETTING) == "7"  # smaller ones stay
+    finally:
+        spark.conf.set(cp.BATCH_SETTING, before)
+    model = toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    scored = toxicity.score(docs, model, keep=["lang", "text", "source"])
+    assert scored.columns == ["doc_id", "score", "predicted", "lang", "text", "source"]
+    key = lambda r: repr((r.doc_id, r.lang, r.text, r.source))
+    assert sorted(map(key, scored.collect())) == sorted(map(key, docs.collect()))
