@@ -9,6 +9,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -58,6 +59,47 @@ def plane_splitter() -> re.Pattern:
     )
 
 
+LETTER, NUMBER, SPACE, OTHER = range(4)
+
+
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """For every code point the class by which ``BYTE_LEVEL_PATTERN`` tells it from others."""
+    out = np.full(0x110000, OTHER, np.uint8)
+    every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "\ufffd" for c in range(len(out)))
+    for kind, name in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for m in regex.finditer(name, every):
+            out[m.start() : m.end()] = kind
+    return out
+
+
+def piece_starts(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where the pieces of ``BYTE_LEVEL_PATTERN`` begin in texts that lie behind one another; ``begins`` are their own places.
+
+    A piece is a run of one class, but: the last of several spaces stands apart, a blank goes to what follows it, and an apostrophe
+    that starts a piece takes the letters of a contraction, which leave the run that they begin.
+    """
+    kind = kinds()[points]
+    change = np.ones(len(points) + 1, bool)
+    change[1:-1] = kind[1:] != kind[:-1]
+    border = np.zeros(len(points) + 1, bool)
+    border[begins] = border[-1] = True
+    start = change | border
+    # Spaces with something behind them in their text: ``\s+(?!\S)`` leaves the last one.
+    last = np.flatnonzero((kind == SPACE) & change[1:] & ~border[1:])
+    start[last] = True
+    start[last[points[last] == ord(" ")] + 1] = False
+    quote = np.flatnonzero(points == ord("'"))
+    quote = quote[start[quote] & ~border[quote + 1]]
+    one, two = points[quote + 1], np.where(border[quote + 2], 0, np.append(points, 0)[quote + 2])
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    start[quote[short | long] + 1] = False
+    start[quote[short] + 2] = True
+    start[quote[long] + 3] = True
+    return np.flatnonzero(start[:-1])
+
+
 class PieceEncoder:
     """Whole texts to little-endian unsigned 32-bit ids, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
@@ -89,7 +131,11 @@ class PieceEncoder:
 
     def _piece(self, piece: str) -> bytes:
         ids = self.ids
-        return b"".join([ids[t.id] for t in self.model.tokenize(piece.encode("utf-8", "replace").decode("latin-1").translate(self.letters))])
+        if piece.isascii() and piece.isprintable():
+            letters = piece.replace(" ", self.letters[0x20])
+        else:
+            letters = piece.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
+        return b"".join([ids[t.id] for t in self.model.tokenize(letters)])
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -116,7 +162,38 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self._ask(texts)
-        return [b"".join(self._parts(t)) for t in texts]
+        out, run, chars = [], [], 0
+        for text in texts:
+            if run and chars + len(text) > WINDOW:
+                out += self._together(run)
+                run, chars = [], 0
+            run.append(text)
+            chars += len(text)
+        return out + self._together(run)
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts of a window's size together: split at once, and each distinct piece is looked up once."""
+        joined = "".join(texts)
+        if not joined or len(joined) > WINDOW or any(s in joined for s in self.special):
+            return [b"".join(self._parts(t)) for t in texts]
+        octets = joined.encode("utf-8", "replace")
+        points = np.frombuffer(joined.encode("utf-32-le", "replace"), "<u4")
+        ends = np.cumsum([len(t) for t in texts])
+        starts = piece_starts(points, np.append(0, ends[:-1]))
+        at = np.append(starts, len(points)).astype(np.int32)
+        if len(octets) > len(points):
+            width = 1 + (points >= 0x80).view(np.uint8) + (points >= 0x800) + (points >= 0x10000)
+            at = np.append(0, np.cumsum(width, dtype=np.int32))[at].astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(octets)).dictionary_encode()
+        found = list(self.memo.of(pieces.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        length = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        place, which = np.cumsum(length) - length, pieces.indices.to_numpy()
+        each = length[which]
+        before = np.append(0, np.cumsum(each))
+        source = np.repeat(place[which] - before[:-1], each) + np.arange(before[-1])
+        ids = np.frombuffer(b"".join(found), "<u4")[source].tobytes()
+        cuts = [0, *(4 * before[np.searchsorted(starts, ends)]).tolist()]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _parts(self, text: str) -> Iterator[bytes]:
         marked = any(s in text for s in self.special)

@@ -41,6 +41,26 @@ def test_pieces_split_anywhere_equal_the_library(library, monkeypatch):
         assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_texts_encoded_together_are_split_as_one_by_one():
+    rng = random.Random(7)
+    letters = [*"aAb  \n\t''srevmldt09.,!é漢\x1c\x85\u3000😀", "'re", "'ll", "  "]
+    pattern = tokens.regex.compile(tokens.BYTE_LEVEL_PATTERN)
+    for _ in range(300):
+        texts = ["".join(rng.choices(letters, k=rng.choice([0, 1, 2, 3, 9]))) for _ in range(5)] + ["x"]
+        begins = np.cumsum([0, *map(len, texts[:-1])])
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+        assert tokens.piece_starts(points, begins).tolist() == [b + m.start() for b, t in zip(begins, texts) for m in pattern.finditer(t)]
+
+
+def test_each_distinct_piece_of_a_window_is_looked_up_once(monkeypatch):
+    enc, looked = tokens.PieceEncoder(PATH), []
+    of = enc.memo.of
+    monkeypatch.setattr(enc.memo, "of", lambda keys: looked.extend(keys) or of(keys))
+    texts = ["one two one"] * 50 + ["", "two 2 one"]
+    assert enc.encode(texts) == enc._ask(texts)
+    assert sorted(looked) == sorted(["one", " two", " one", "two", " 2"])
+
+
 def test_packing_of_odd_documents(spark, library):
     pieces = tokens.token_pieces(_docs(spark, ODD), PATH, 64, 2)
     packed = packing.pack(pieces, 64).collect()
