@@ -410,3 +410,17 @@ def test_scores_ask_each_model_once(spark, table):
     model = learn.fit(table, FEATURES, learn.Learner("boosted", n_estimators=1, max_depth=1))
     plan = learn.score(model, table).select("p")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.split("Project")[1].count("UDF(UDF(UDF(") == 3
+
+
+def test_fits_of_many_rows_go_one_after_another(spark, table, monkeypatch):
+    assert [learn.fits_at_once(n, 12, 12) for n in (0, 10**6, 5 * 10**6, 10**8)] == [12, 12, 2, 1]
+    blocks, seen, alone = splits.expanding_blocks(table, 2), [], learn.in_parallel
+    monkeypatch.setattr(learn, "in_parallel", lambda spark, tasks, workers=4: seen.append(workers) or alone(spark, tasks, workers))
+    grid, base = {"max_depth": [1, 2], "n_estimators": [1]}, learn.Learner("boosted", min_child_samples=1)
+    losses = []
+    for limit in (10**6, 1):
+        monkeypatch.setattr(learn, "POINTS_PER_CORE", limit)
+        seen.clear()
+        losses.append(sorted((r.settings, r.mean_loss) for r in learn.grid_search(blocks, FEATURES, grid, 2, base).collect()))
+        assert set(seen) == ({4, 3} if limit > 1 else {1})
+    assert [k for k, _ in losses[0]] == [k for k, _ in losses[1]] and np.allclose([v for _, v in losses[0]], [v for _, v in losses[1]], atol=1e-12)
