@@ -85,6 +85,25 @@ def test_long_conversation_takes_a_row_per_turn(spark, tmp_path):
     assert chat.digests(spark, files).first().n_turns == 3000
 
 
+def test_examples_are_written_in_full(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(chat, "CHUNK_TURNS", 3)  # conversations of several chunks, with and without a reply in the last one
+    rows = ROWS + [(c, k, "assistant" if k % 4 == 1 and (c != 9 or k < 9) else "user", f"turn {k} of {c}") for c in (8, 9, 10) for k in range(12 + c)]
+    rows += [(11, k, "user", str(k)) for k in range(7)] + [(12, k, "assistant", str(k)) for k in range(6)]
+    files = chat.write_chat(_frame(spark, rows), str(tmp_path / "chat"))
+    formatted = defaultdict(dict)
+    for r in chat.read_turns(spark, files).collect():
+        formatted[r.conv_id][r.position] = r.formatted
+    want = {}
+    for conv, turns in _ordered(rows).items():
+        for k, (role, _) in enumerate(turns):
+            if role == "assistant" or k == len(turns) - 1:
+                want[conv, k] = "".join(formatted[conv][j] for j in range(k + 1))
+    found = spark.read.parquet(files.examples).collect()
+    assert len(found) == len(want) and {(r.conv_id, r.position): r.text for r in found} == want
+    slim = spark.read.parquet(files.examples).drop("text")
+    assert {(r.conv_id, r.position): r.text for r in chat.example_texts(spark, files, slim).collect()} == want
+
+
 def test_chat_of_nothing(spark, tmp_path):
     files = chat.write_chat(_frame(spark, ROWS).limit(0), str(tmp_path / "chat"))
     assert chat.digests(spark, files).count() == 0
