@@ -424,3 +424,34 @@ def test_fits_of_many_rows_go_one_after_another(spark, table, monkeypatch):
         losses.append(sorted((r.settings, r.mean_loss) for r in learn.grid_search(blocks, FEATURES, grid, 2, base).collect()))
         assert set(seen) == ({4, 3} if limit > 1 else {1})
     assert [k for k, _ in losses[0]] == [k for k, _ in losses[1]] and np.allclose([v for _, v in losses[0]], [v for _, v in losses[1]], atol=1e-12)
+
+
+def test_early_stopping_waits_for_its_rounds(spark, table):
+    assert learn.stopping_point([1.0, 1.1, 1.05, 0.9, 0.95], 5, 0.0, 3) == 4 and learn.stopping_point([1.0, 1.1, 1.05, 0.9], 4, 0.0, 2) == 1
+    assert learn.stopping_point([1.0, 0.999, 0.998], 3, 0.0, 50) == 3 and learn.stopping_point([1.0, 1.0], 2, 0.0, 50) == 1
+    # With a small learning rate no tree lowers the loss by a hundredth; the fit goes on all the same.
+    rows, learner = table.withColumn("held", F.col("b") > 0.7), learn.Learner("boosted", n_estimators=4, max_depth=2, min_child_samples=1, learning_rate=0.02)
+    assert max(len(m.treeWeights) for m in learn.fit(rows, FEATURES, learner, validation="held").stages[2:]) == 4
+
+
+class _Asked(Exception):
+    pass
+
+
+def _asked_of(monkeypatch, module, name, run):
+    """The arguments with which a query first calls a function."""
+    def stop(*args, **kwargs):
+        raise _Asked(args, kwargs)
+
+    monkeypatch.setattr(module, name, stop)
+    with pytest.raises(_Asked) as found:
+        run()
+    monkeypatch.undo()
+    return found.value.args
+
+
+def test_random_search_of_the_catalog_fits_whole_models(spark, table, monkeypatch):
+    monkeypatch.setattr(models, "_blocks", lambda *args: table)
+    monkeypatch.setattr(learn, "coded_table", lambda df, *args: df)
+    _, asked = _asked_of(monkeypatch, learn, "random_search", lambda: models.ml_random_search(spark, ""))
+    assert asked["base"] == learn.Learner("boosted", n_estimators=100) and asked["trials"] == 25 and asked["n_splits"] == 5
