@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from firmlens.catalog import models
+from firmlens.functions.constants import TRAINING_GRID
 from firmlens.operators import splits
 from firmlens.operators.scores import ranking_measures
 from firmlens.plans import backtest, learn, registry, tree_attribution
@@ -455,3 +456,9 @@ def test_random_search_of_the_catalog_fits_whole_models(spark, table, monkeypatc
     monkeypatch.setattr(learn, "coded_table", lambda df, *args: df)
     _, asked = _asked_of(monkeypatch, learn, "random_search", lambda: models.ml_random_search(spark, ""))
     assert asked["base"] == learn.Learner("boosted", n_estimators=100) and asked["trials"] == 25 and asked["n_splits"] == 5
+
+
+def test_grid_search_of_the_catalog_asks_for_the_whole_grid(spark, table, monkeypatch):
+    monkeypatch.setattr(models, "_blocks", lambda *args: table)
+    (_, _, grid), asked = _asked_of(monkeypatch, learn, "grid_search", lambda: models.ml_grid_search(spark, ""))
+    assert grid == TRAINING_GRID and grid["n_estimators"] == [100, 200] and asked["base"].kind == "boosted"
