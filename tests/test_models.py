@@ -462,3 +462,9 @@ def test_grid_search_of_the_catalog_asks_for_the_whole_grid(spark, table, monkey
     monkeypatch.setattr(models, "_blocks", lambda *args: table)
     (_, _, grid), asked = _asked_of(monkeypatch, learn, "grid_search", lambda: models.ml_grid_search(spark, ""))
     assert grid == TRAINING_GRID and grid["n_estimators"] == [100, 200] and asked["base"].kind == "boosted"
+
+
+def test_multiclass_fit_of_the_catalog_has_all_trees(spark, table, monkeypatch):
+    monkeypatch.setattr(models, "training_rows", lambda *args: table)
+    (_, _, learner), _ = _asked_of(monkeypatch, learn, "fit", lambda: models.ml_fit_multiclass(spark, ""))
+    assert learner == learn.Learner("boosted", n_estimators=100)
