@@ -468,3 +468,10 @@ def test_multiclass_fit_of_the_catalog_has_all_trees(spark, table, monkeypatch):
     monkeypatch.setattr(models, "training_rows", lambda *args: table)
     (_, _, learner), _ = _asked_of(monkeypatch, learn, "fit", lambda: models.ml_fit_multiclass(spark, ""))
     assert learner == learn.Learner("boosted", n_estimators=100)
+
+
+def test_12_month_backtest_of_the_catalog_fits_a_whole_model_for_every_window(spark, table, monkeypatch):
+    monkeypatch.setattr(models, "training_rows", lambda *args: table)
+    (_, _, start, end, span, learner), asked = _asked_of(monkeypatch, backtest, "fitted_backtest", lambda: models.bt_expanding_12m(spark, ""))
+    assert (start, end, span) == (date(2001, 1, 1), date(2001, 12, 1), 12) and learner == learn.Learner("boosted", n_estimators=100)
+    assert asked.get("refit_every", 1) == 1
