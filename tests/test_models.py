@@ -475,3 +475,9 @@ def test_12_month_backtest_of_the_catalog_fits_a_whole_model_for_every_window(sp
     (_, _, start, end, span, learner), asked = _asked_of(monkeypatch, backtest, "fitted_backtest", lambda: models.bt_expanding_12m(spark, ""))
     assert (start, end, span) == (date(2001, 1, 1), date(2001, 12, 1), 12) and learner == learn.Learner("boosted", n_estimators=100)
     assert asked.get("refit_every", 1) == 1
+
+
+def test_economies_of_the_catalog_are_boosted(spark, table, monkeypatch):
+    monkeypatch.setattr(models, "training_rows", lambda *args: table)
+    (*_, learner, _, _), _ = _asked_of(monkeypatch, backtest, "backtest_economies", lambda: models.bt_all_econs(spark, ""))
+    assert learner == learn.Learner("boosted", n_estimators=100)
