@@ -481,3 +481,12 @@ def test_economies_of_the_catalog_are_boosted(spark, table, monkeypatch):
     monkeypatch.setattr(models, "training_rows", lambda *args: table)
     (*_, learner, _, _), _ = _asked_of(monkeypatch, backtest, "backtest_economies", lambda: models.bt_all_econs(spark, ""))
     assert learner == learn.Learner("boosted", n_estimators=100)
+
+
+def test_attribution_of_the_catalog_is_of_whole_models(spark, table, monkeypatch):
+    asked = []
+    monkeypatch.setattr(models, "training_rows", lambda *args: table)
+    monkeypatch.setattr(backtest, "fitted_predictions", lambda t, f, units, span, learner, **more: asked.append(learner) or (None, []))
+    with pytest.raises(AttributeError):  # without models there are no parts
+        models.attr_importance_by_window(spark, "")
+    assert asked == [learn.Learner("boosted", n_estimators=100), learn.Learner("linear", n_estimators=100)]
